@@ -1,0 +1,5 @@
+"""Intentionally empty: every input of this library is a finite table.
+
+Reading a large file in pieces is what a Spark scan does anyway (one task per input split), so
+no unbounded source, watermark or state is needed.
+"""

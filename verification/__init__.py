@@ -1,0 +1 @@
+"""Spark queries over the test tables, and the same results as plain SQL."""

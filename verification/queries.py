@@ -1,0 +1,529 @@
+"""One Spark query per operator, over the whole test tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import cached_property, reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from demandloom.functions import parsing
+from demandloom.functions.calendar import iso_text
+from demandloom.operators import (
+    catalog,
+    checks,
+    cleaning,
+    cohorts,
+    demand,
+    evaluation,
+    exploration,
+    features,
+    investigation,
+    model,
+    reconciliation,
+    splits,
+)
+from demandloom.schemas import SERIES_KEYS
+from demandloom.session import pin, shared_folder
+from demandloom.sources import readers, sinks, views
+
+SPEC = views.VIEW_SPLITS
+Query = Callable[[SparkSession, str], DataFrame]
+_REGISTRY: dict[str, Query] = {}
+
+
+class Tables:
+    """The retail tables and stages of one test folder, as lazy plans."""
+
+    def __init__(self, spark: SparkSession, folder: str, rule: str = "brand"):
+        self.spark, self.folder, self.rule = spark, folder, rule
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return views.sales_view(self.spark, self.folder, self.rule)
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return views.catalog_view(self.spark, self.folder, self.rule)
+
+    @cached_property
+    def price_history(self) -> DataFrame:
+        return views.price_history_view(self.spark, self.folder)
+
+    @cached_property
+    def discounts_history(self) -> DataFrame:
+        return views.discounts_history_view(self.spark, self.folder)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return demand.daily_demand_from_raw(self.sales)
+
+    @cached_property
+    def prepared(self) -> DataFrame:
+        return demand.prepare_demand(self.daily)
+
+    @cached_property
+    def series_features(self) -> DataFrame:
+        return features.series_features(self.prepared)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return features.build_features(
+            self.prepared, catalog.item_codes(self.sales), catalog.catalog_codes(self.catalog), trusted=True
+        )
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Naive forecasts of every split."""
+        return evaluation.naive_forecast(self.series_features)
+
+    @cached_property
+    def test(self) -> DataFrame:
+        return splits.select_period(self.scored, SPEC.test)
+
+    @cached_property
+    def cases(self) -> DataFrame:
+        return pin(evaluation.top_errors(self.test), "cases")
+
+    @cached_property
+    def training_items(self) -> DataFrame:
+        return cohorts.items_in_period(self.prepared, SPEC.train)
+
+
+def tidy(df: DataFrame, **digits: int) -> DataFrame:
+    """Round doubles so that summation order does not show; 6 places unless given."""
+    rounded = {
+        f.name: F.round(F.col(f.name).cast("double"), digits.get(f.name, 6))
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    }
+    return df.withColumns(rounded) if rounded else df
+
+
+def query(**digits: int) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
+    def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+        _REGISTRY[build.__name__] = lambda spark, folder: tidy(build(Tables(spark, folder)), **digits)
+        return build
+
+    return register
+
+
+def registered() -> dict[str, Query]:
+    return dict(_REGISTRY)
+
+
+# --- cleaning -----------------------------------------------------------------------------
+
+
+@query()
+def sales_audit(t: Tables) -> DataFrame:
+    return cleaning.audit_sales(t.sales)
+
+
+@query()
+def null_counts(t: Tables) -> DataFrame:
+    return checks.null_counts(t.catalog)
+
+
+@query()
+def duplicate_rows(t: Tables) -> DataFrame:
+    return cleaning.sales_duplicates(t.sales.select("date", *SERIES_KEYS, "quantity"))
+
+
+@query()
+def price_correction(t: Tables) -> DataFrame:
+    return cleaning.clean_sales(t.sales)
+
+
+@query()
+def sales_without_returns(t: Tables) -> DataFrame:
+    return cleaning.clean_sales(t.sales, keep_returns=False, repair_prices=False)
+
+
+@query()
+def price_correction_report(t: Tables) -> DataFrame:
+    return cleaning.price_correction_report(t.sales)
+
+
+@query()
+def imputed_price_sample(t: Tables) -> DataFrame:
+    return cleaning.imputed_price_sample(t.sales)
+
+
+@query()
+def lenient_parse(t: Tables) -> DataFrame:
+    key = F.col("l_orderkey")
+    text = t.spark.read.parquet(f"{t.folder}/lineitem.parquet").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(key % 50 == 0, "not a date")
+        .when(key % 53 != 0, iso_text(F.col("l_shipdate")))
+        .alias("date_text"),
+        F.when(key % 31 == 0, "n/a")
+        .when(key % 37 == 0, F.concat(F.col("l_quantity").cast("string"), F.lit("kg")))
+        .otherwise(F.col("l_quantity").cast("string"))
+        .alias("number_text"),
+    )
+    return text.select(
+        "l_orderkey",
+        "l_linenumber",
+        parsing.lenient_date(F.col("date_text")).alias("parsed_date"),
+        parsing.lenient_double(F.col("number_text")).alias("parsed_number"),
+        parsing.strict_date(F.when(F.col("date_text") != "not a date", F.col("date_text"))).alias("strict_date"),
+        parsing.blank_to_null(F.col("number_text")).alias("number_text"),
+    )
+
+
+# --- daily and prepared demand ------------------------------------------------------------
+
+
+@query()
+def daily_demand(t: Tables) -> DataFrame:
+    return t.daily
+
+
+@query()
+def daily_demand_from_clean(t: Tables) -> DataFrame:
+    return demand.aggregate_daily_demand(cleaning.clean_sales(t.sales))
+
+
+@query()
+def daily_profile(t: Tables) -> DataFrame:
+    return checks.fold_rows(demand.daily_profile(t.daily), demand.demand_median(t.daily))
+
+
+@query()
+def market_trend(t: Tables) -> DataFrame:
+    return demand.market_trend(t.daily)
+
+
+@query()
+def series_bounds(t: Tables) -> DataFrame:
+    return demand.series_bounds(t.daily)
+
+
+@query()
+def prepared_demand(t: Tables) -> DataFrame:
+    return t.prepared
+
+
+@query()
+def preparation_report(t: Tables) -> DataFrame:
+    return demand.preparation_report(t.daily, t.prepared)
+
+
+@query()
+def preparation_by_store(t: Tables) -> DataFrame:
+    return demand.preparation_report(t.daily, t.prepared, ["store_id"])
+
+
+@query()
+def stage_roundtrip(t: Tables) -> DataFrame:
+    """Write the prepared stage as Parquet (per store) and CSV, read both back, compare."""
+    folder = f"{shared_folder(t.spark).rstrip('/')}/roundtrip-{t.spark.sparkContext.applicationId}"
+    sinks.write_stage(t.prepared, f"{folder}/parquet", ("item_id", "date"), ("store_id",), 2)
+    stored = readers.read_demand(t.spark, f"{folder}/parquet")
+    sinks.export_csv(stored, f"{folder}/csv")
+    exported = readers.read_demand(t.spark, f"{folder}/csv", "csv")
+
+    def summary(df: DataFrame, source: str) -> DataFrame:
+        return df.groupBy("store_id").agg(
+            F.lit(source).alias("source"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum("daily_demand").alias("total_demand"),
+            F.avg("price").alias("mean_price"),
+            F.min("date").alias("min_date"),
+            F.max("date").alias("max_date"),
+        )
+
+    return summary(stored, "parquet").unionByName(summary(exported, "csv"))
+
+
+# --- features -----------------------------------------------------------------------------
+
+
+@query()
+def catalog_codes(t: Tables) -> DataFrame:
+    return catalog.catalog_codes(t.catalog)
+
+
+@query()
+def item_codes(t: Tables) -> DataFrame:
+    return catalog.item_codes(t.prepared)
+
+
+@query()
+def lag_features(t: Tables) -> DataFrame:
+    return features.add_lags(features.add_target(t.prepared)).drop("price")
+
+
+@query()
+def rolling_features(t: Tables) -> DataFrame:
+    return features.add_rolling(t.prepared).drop("price")
+
+
+@query()
+def price_features(t: Tables) -> DataFrame:
+    return features.add_price_change(t.prepared).drop("daily_demand")
+
+
+@query()
+def calendar_features(t: Tables) -> DataFrame:
+    return features.add_calendar(t.prepared.select("date", *SERIES_KEYS))
+
+
+@query()
+def features_full(t: Tables) -> DataFrame:
+    return t.features
+
+
+@query(price=3, price_change=3)
+def model_input(t: Tables) -> DataFrame:
+    return features.model_input(t.features)
+
+
+@query()
+def target_stats(t: Tables) -> DataFrame:
+    return features.feature_report(t.prepared, t.series_features)
+
+
+@query()
+def split_summary(t: Tables) -> DataFrame:
+    return splits.split_summary(t.series_features, SPEC)
+
+
+@query()
+def split_checks(t: Tables) -> DataFrame:
+    return splits.split_checks(t.series_features, SPEC)
+
+
+# --- evaluation ---------------------------------------------------------------------------
+
+
+@query(sse=2)
+def forecast_metrics(t: Tables) -> DataFrame:
+    return evaluation.metrics_by_split(t.scored, SPEC)
+
+
+@query(sse=2)
+def evaluate_validation(t: Tables) -> DataFrame:
+    return evaluation.evaluate_period(t.scored, SPEC.validation)
+
+
+@query()
+def error_distribution(t: Tables) -> DataFrame:
+    return evaluation.error_distribution(t.test)
+
+
+@query()
+def actual_vs_predicted(t: Tables) -> DataFrame:
+    return evaluation.demand_distribution(t.test)
+
+
+@query()
+def demand_totals(t: Tables) -> DataFrame:
+    return evaluation.demand_totals(t.test)
+
+
+@query()
+def bias_summary(t: Tables) -> DataFrame:
+    return evaluation.bias_summary(t.test)
+
+
+@query()
+def metrics_by_range(t: Tables) -> DataFrame:
+    return evaluation.metrics_by_range(t.test)
+
+
+@query(sse=2)
+def sse_by_range(t: Tables) -> DataFrame:
+    return evaluation.sse_by_range(t.test)
+
+
+@query()
+def high_demand(t: Tables) -> DataFrame:
+    return evaluation.high_demand_report(t.test)
+
+
+@query(sse=2)
+def metrics_by_store(t: Tables) -> DataFrame:
+    return evaluation.metrics_by_store(t.test)
+
+
+@query(squared_error=2)
+def top_errors(t: Tables) -> DataFrame:
+    return evaluation.top_errors(t.test).select(
+        "rank", "date", "target_date", *SERIES_KEYS, "target", "predicted", "error", "abs_error", "squared_error"
+    )
+
+
+@query(total_sse=2, top_sse=2)
+def top_error_sse_share(t: Tables) -> DataFrame:
+    return evaluation.top_error_share(t.test)
+
+
+@query()
+def sample_predictions(t: Tables) -> DataFrame:
+    return evaluation.sample_predictions(t.test)
+
+
+# --- investigation and cohorts ------------------------------------------------------------
+
+
+def _series_text(name: str):
+    return F.array_join(F.transform(name, lambda x: x.cast("long").cast("string")), ",").alias(name)
+
+
+@query()
+def spike_windows(t: Tables) -> DataFrame:
+    context = investigation.spike_context(t.cases, t.prepared)
+    series = ("prior_28d_series", "post_7d_series")
+    return context.select(
+        *[c for c in context.columns if c not in series], *[_series_text(c) for c in series]
+    )
+
+
+@query()
+def rolling_context(t: Tables) -> DataFrame:
+    return investigation.rolling_context(t.prepared)
+
+
+@query(raw_sum_total=4)
+def spike_classification(t: Tables) -> DataFrame:
+    found = investigation.investigate_errors(t.cases, t.prepared, t.sales, t.catalog)
+    return found.drop("prior_28d_series", "post_7d_series")
+
+
+@query()
+def classification_counts(t: Tables) -> DataFrame:
+    return investigation.classification_counts(
+        investigation.investigate_errors(t.cases, t.prepared, t.sales, t.catalog)
+    )
+
+
+@query(sse=2)
+def cohort_metrics(t: Tables) -> DataFrame:
+    return cohorts.cohort_metrics(t.test, t.training_items, views.ANOMALY_ITEM)
+
+
+@query()
+def unseen_items(t: Tables) -> DataFrame:
+    return cohorts.unseen_items(t.test, t.training_items, t.catalog)
+
+
+@query()
+def common_keys(t: Tables) -> DataFrame:
+    shared = cohorts.shared_items(t.sales, t.catalog).withColumn("found_in", F.lit("both"))
+    alone = cohorts.items_only_left(t.sales, t.catalog).withColumn("found_in", F.lit("sales"))
+    return shared.unionByName(alone)
+
+
+# --- reconciliation -----------------------------------------------------------------------
+
+
+@query()
+def tx_granularity(t: Tables) -> DataFrame:
+    return reconciliation.transaction_granularity(t.sales)
+
+
+@query(total_sum=4, total_min=4, total_max=4, max_arithmetic_diff=4)
+def item_stats(t: Tables) -> DataFrame:
+    return reconciliation.item_statistics(t.sales)
+
+
+@query()
+def item_prices(t: Tables) -> DataFrame:
+    return reconciliation.item_prices(t.sales)
+
+
+@query(revenue=4)
+def item_by_store(t: Tables) -> DataFrame:
+    return reconciliation.item_by_store(t.sales)
+
+
+@query(effective_unit_price=9)
+def arithmetic_check(t: Tables) -> DataFrame:
+    return reconciliation.with_arithmetic(t.sales)
+
+
+@query(raw_sum_total=4)
+def reconcile_daily(t: Tables) -> DataFrame:
+    return reconciliation.reconcile_daily(t.sales, t.daily)
+
+
+@query()
+def reconcile_daily_by_item(t: Tables) -> DataFrame:
+    return reconciliation.reconcile_daily_by_item(t.sales, t.daily)
+
+
+@query()
+def reconcile_prepared(t: Tables) -> DataFrame:
+    return reconciliation.reconcile_prepared(t.daily, t.prepared)
+
+
+@query()
+def reconcile_prepared_by_item(t: Tables) -> DataFrame:
+    return reconciliation.reconcile_prepared_by_item(t.daily, t.prepared)
+
+
+@query(sum_total=4)
+def sales_listing(t: Tables) -> DataFrame:
+    return reconciliation.sales_listing(t.sales, t.prepared)
+
+
+@query()
+def item_presence(t: Tables) -> DataFrame:
+    return reconciliation.item_presence(t.sales, t.catalog, t.price_history, t.discounts_history)
+
+
+@query(value=4)
+def audit_report_long(t: Tables) -> DataFrame:
+    return reconciliation.audit_report(
+        t.sales, t.daily, t.prepared, t.catalog, t.price_history, t.discounts_history
+    )
+
+
+# --- exploration --------------------------------------------------------------------------
+
+
+@query(sum=4, max=4, min=4)
+def sales_profile(t: Tables) -> DataFrame:
+    return exploration.describe_columns(t.sales, ["store_id", "quantity", "price_base", "sum_total"])
+
+
+@query()
+def sales_shape(t: Tables) -> DataFrame:
+    """Rows, columns, products and stores of the sales table, and rows of its catalog join."""
+    return reduce(
+        checks.fold_rows,
+        [
+            exploration.table_shape(t.sales),
+            exploration.distinct_counts(t.sales),
+            exploration.joined_row_count(t.sales, t.catalog).withColumnRenamed("rows", "joined_rows"),
+        ],
+    )
+
+
+@query()
+def top_items(t: Tables) -> DataFrame:
+    return exploration.top_items(t.sales, t.catalog)
+
+
+@query()
+def department_sales(t: Tables) -> DataFrame:
+    return exploration.department_sales(t.sales, t.catalog)
+
+
+# --- model --------------------------------------------------------------------------------
+
+
+@query()
+def gbt_train_score(t: Tables) -> DataFrame:
+    """Fit on the whole train period, score validation and test, report both."""
+    table = pin(t.features, "features")
+    params = model.BoostingParams(rounds=8, patience=3, depth=4, step=0.3, bins=64)
+    fitted = model.fit_demand_model(table, SPEC, params)
+    scored = fitted.score(table.where(splits.split_label(SPEC).isin("validation", "test")))
+    return evaluation.metrics_by_split(scored, SPEC).withColumn("best_round", F.lit(fitted.best_round))
