@@ -79,10 +79,19 @@ def correct_negative_prices(sales: DataFrame) -> DataFrame:
 
 def price_correction_report(sales: DataFrame) -> DataFrame:
     """One row: negative prices, how many were imputed, how many found no median."""
-    return _negative_with_median(sales).agg(
-        F.count(F.lit(1)).alias("total_negative_prices"),
-        F.count("median_price").alias("imputed_count"),
-        F.count_if(F.col("median_price").isNull()).alias("unmatched_count"),
+    negative = sales.where(F.col("price_base") < 0).groupBy(*SERIES_KEYS).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    matched = negative.join(median_positive_price(sales), list(SERIES_KEYS), "left")
+    found = F.col("median_price").isNotNull()
+
+    def rows_where(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("_rows"))), F.lit(0))
+
+    return matched.agg(
+        rows_where(F.lit(True)).alias("total_negative_prices"),
+        rows_where(found).alias("imputed_count"),
+        rows_where(~found).alias("unmatched_count"),
     )
 
 

@@ -12,7 +12,7 @@ from demandloom.functions.scoring import percentage
 from demandloom.operators.checks import null_count_columns
 from demandloom.operators.cleaning import drop_index_column, median_positive_price, without_returns
 from demandloom.operators.quantiles import exact_median
-from demandloom.schemas import DAY_KEYS, SERIES_KEYS
+from demandloom.schemas import DAY_KEYS, SERIES_KEYS, series_window
 
 
 def _with_keys(df: DataFrame) -> DataFrame:
@@ -32,13 +32,18 @@ def aggregate_daily_demand(sales: DataFrame) -> DataFrame:
     )
 
 
-def daily_demand_from_raw(sales: DataFrame, keep_returns: bool = True) -> DataFrame:
+def daily_demand_from_raw(
+    sales: DataFrame, keep_returns: bool = True, partitions: int | None = None
+) -> DataFrame:
     """Price repair and daily aggregation in one go, for raw rows.
 
     Same result as ``aggregate_daily_demand(clean_sales(sales))``. A group's mean needs only
     the sum and count of its good prices and the number of bad ones, so medians are joined to
     the aggregated days: raw rows are pre-aggregated where they are read and a hot series is
     spread over its dates.
+
+    ``partitions`` sets the number of tasks of the join by series, which everything that
+    follows on the same series inherits (see ``prepare_demand``).
     """
     sales = drop_index_column(sales)
     if not keep_returns:
@@ -54,6 +59,8 @@ def daily_demand_from_raw(sales: DataFrame, keep_returns: bool = True) -> DataFr
             F.count_if(price < 0).alias("_bad"),
         )
     )
+    if partitions:
+        days = days.repartition(partitions, *SERIES_KEYS)
     median = F.col("median_price")
     repaired = F.when(median.isNotNull(), F.col("_bad")).otherwise(F.lit(0))
     total = F.col("_good_sum") + F.coalesce(median, F.lit(0.0)) * repaired
@@ -160,7 +167,12 @@ def clip_negative(value: Column) -> Column:
     return F.when(value < 0, F.lit(0.0)).otherwise(value)
 
 
-def prepare_demand(daily: DataFrame) -> DataFrame:
+def prepared_row_count(daily: DataFrame) -> DataFrame:
+    """One row ``(prepared_rows)``: how many rows ``prepare_demand`` will give."""
+    return series_bounds(daily).agg(F.coalesce(F.sum("span_days"), F.lit(0)).alias("prepared_rows"))
+
+
+def prepare_demand(daily: DataFrame, partitions: int | None = None) -> DataFrame:
     """Gapless series: one row per day from the first to the last sale of each series.
 
     Negative demand becomes 0, missing days get demand 0, prices are carried forward and
@@ -168,8 +180,14 @@ def prepare_demand(daily: DataFrame) -> DataFrame:
     date, emits the days up to it, so a series is hashed once and its rows stay in place for
     the feature windows. A series has at most one row per calendar day, which bounds both the
     windows and the rows that one row can emit.
+
+    The planner sizes tasks by the observed rows and cannot foresee how many days are added.
+    For sparse series set ``partitions`` by ``prepared_row_count`` (or have it set where the
+    daily table is built, which saves a shuffle).
     """
-    series = Window.partitionBy(*SERIES_KEYS).orderBy("date")
+    if partitions:
+        daily = daily.repartition(partitions, *SERIES_KEYS)
+    series = series_window()
     so_far = series.rowsBetween(Window.unboundedPreceding, 0)
     observed = daily.select(
         "date",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.calendar import calendar_columns
@@ -14,8 +15,9 @@ from demandloom.schemas import (
     CATEGORICAL_COLUMNS,
     FEATURE_TABLE_COLUMNS,
     MODEL_COLUMNS,
-    SERIES_KEYS,
+    series_window,
 )
+from demandloom.session import pin
 
 LAGS = (1, 7, 14, 28)
 MEAN_WINDOWS = (7, 14, 28)
@@ -24,22 +26,18 @@ TARGET = "target"
 DEMAND = "daily_demand"
 
 
-def _series_window():
-    return Window.partitionBy(*SERIES_KEYS).orderBy("date")
-
-
 def add_target(prepared: DataFrame) -> DataFrame:
-    return prepared.withColumn(TARGET, F.lead(DEMAND, 1).over(_series_window()))
+    return prepared.withColumn(TARGET, F.lead(DEMAND, 1).over(series_window()))
 
 
 def add_lags(prepared: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
-    series = _series_window()
+    series = series_window()
     return prepared.withColumns({f"lag_{k}": F.lag(DEMAND, k).over(series) for k in lags})
 
 
 def add_price_change(prepared: DataFrame) -> DataFrame:
     return prepared.withColumn(
-        "price_change", F.col("price") - F.lag("price", 1).over(_series_window())
+        "price_change", F.col("price") - F.lag("price", 1).over(series_window())
     )
 
 
@@ -54,46 +52,40 @@ def add_rolling(
 ) -> DataFrame:
     """Mean and sample deviation of the N days before each day; NULL unless there are N.
 
-    If every window is a multiple of the shortest one, only that one slides over the rows.
-    The longer ones are put together from its earlier results (block sums add up; squared
-    deviations combine by the parallel variance formula), which costs a few lags per row
-    instead of a frame of N rows.
+    If every window is a multiple of the shortest one, no frame slides at all: the days of the
+    shortest window are lags, and the longer windows are put together from its earlier
+    results (sums add up; squared deviations combine by the parallel variance formula). A
+    missing lag makes a sum NULL, which is the "unless there are N" rule.
     """
     block = min([*mean_windows, *std_windows])
     if any(n % block for n in [*mean_windows, *std_windows]):
-        return _add_rolling_directly(prepared, mean_windows, std_windows)
+        return _add_rolling_by_frames(prepared, mean_windows, std_windows)
 
-    series = _series_window()
-    frame = series.rowsBetween(-block, -1)
-    full = F.count(F.lit(1)).over(frame) == block
+    series = series_window()
+    days = [f"_day_{k}" for k in range(1, block + 1)]
     blocks = prepared.withColumns(
-        {
-            "_sum": F.when(full, F.sum(DEMAND).over(frame)),
-            "_dev": F.when(full, F.var_pop(DEMAND).over(frame) * block),
-        }
+        {name: F.lag(DEMAND, k).over(series) for k, name in enumerate(days, start=1)}
     )
-    furthest = max([*mean_windows, *std_windows]) // block
-    earlier = {}
-    for back in range(1, furthest):
-        earlier[f"_sum_{back}"] = F.lag("_sum", back * block).over(series)
-        earlier[f"_dev_{back}"] = F.lag("_dev", back * block).over(series)
+    blocks = blocks.withColumn("_sum_0", _total([F.col(d) for d in days]))
+    center = F.col("_sum_0") / block
+    blocks = blocks.withColumn("_dev_0", _total([_square(F.col(d) - center) for d in days]))
+    count = max([*mean_windows, *std_windows]) // block
+    earlier = {
+        f"{part}_{back}": F.lag(f"{part}_0", back * block).over(series)
+        for back in range(1, count)
+        for part in ("_sum", "_dev")
+    }
     blocks = blocks.withColumns(earlier) if earlier else blocks
-    sums = [F.col("_sum")] + [F.col(f"_sum_{back}") for back in range(1, furthest)]
-    devs = [F.col("_dev")] + [F.col(f"_dev_{back}") for back in range(1, furthest)]
-
-    def total(parts: Sequence[Column]) -> Column:
-        result = parts[0]
-        for part in parts[1:]:
-            result = result + part
-        return result
+    sums = [F.col(f"_sum_{back}") for back in range(count)]
+    devs = [F.col(f"_dev_{back}") for back in range(count)]
 
     def mean(n: int) -> Column:
-        return total(sums[: n // block]) / n
+        return _total(sums[: n // block]) / n
 
     def std(n: int) -> Column:
         k = n // block
-        between = total([F.pow(s / block - mean(n), F.lit(2.0)) for s in sums[:k]]) * block
-        deviations = total(devs[:k]) + (between if k > 1 else F.lit(0.0))
+        between = _total([_square(s / block - mean(n)) for s in sums[:k]]) * block
+        deviations = _total(devs[:k]) + between if k > 1 else devs[0]
         return F.sqrt(deviations / (n - 1))
 
     return blocks.withColumns(
@@ -101,13 +93,21 @@ def add_rolling(
             **{f"rolling_mean_{n}": mean(n) for n in mean_windows},
             **{f"rolling_std_{n}": std(n) for n in std_windows},
         }
-    ).drop("_sum", "_dev", *earlier)
+    ).drop(*days, "_sum_0", "_dev_0", *earlier)
+
+
+def _total(parts: Sequence[Column]) -> Column:
+    return reduce(lambda left, right: left + right, parts)
+
+
+def _square(value: Column) -> Column:
+    return value * value
 
 
-def _add_rolling_directly(
+def _add_rolling_by_frames(
     prepared: DataFrame, mean_windows: Sequence[int], std_windows: Sequence[int]
 ) -> DataFrame:
-    series = _series_window()
+    series = series_window()
 
     def over_full(n: int, aggregate: Column) -> Column:
         frame = series.rowsBetween(-n, -1)
@@ -136,11 +136,12 @@ def attach_items(
     """Add ``item_code`` (unknown -1) and catalog codes (uncatalogued NULL).
 
     Both lookups are per item, so they are joined to each other first and the features meet
-    one dimension table; whether it is broadcast follows from its size. ``codes`` must hold
-    each item once: that is checked unless ``trusted``.
+    one dimension table. It is pinned, so that its true size decides whether the wide feature
+    rows stay where they are (broadcast) or are shuffled by item. ``codes`` must hold each
+    item once: that is checked unless ``trusted``.
     """
     codes = codes if trusted else unique_by(codes, ["item_id"])
-    dimension = items.join(codes, "item_id", "left")
+    dimension = pin(items.join(codes, "item_id", "left"), "item-dimension")
     return features.join(dimension, "item_id", "left").withColumn(
         "item_code", F.coalesce("item_code", F.lit(-1))
     )

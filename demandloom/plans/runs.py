@@ -66,13 +66,22 @@ def run_daily_demand(
     }
 
 
+ROWS_PER_TASK = 1_000_000
+
+
+def _series_partitions(daily: DataFrame) -> int:
+    """Tasks for the gapless table, from its exact row count."""
+    rows = demand.prepared_row_count(daily).first()["prepared_rows"]
+    return max(rows // ROWS_PER_TASK + 1, daily.sparkSession.sparkContext.defaultParallelism)
+
+
 def run_prepare_demand(
     spark: SparkSession, stages: StageFolder, files_per_store: int = 0
 ) -> dict[str, DataFrame]:
     """Daily stage to gapless series, with the preparation report."""
     daily = readers.read_demand(spark, stages.path("daily_demand"))
     sinks.write_stage(
-        demand.prepare_demand(daily),
+        demand.prepare_demand(daily, _series_partitions(daily)),
         stages.path("prepared_demand"),
         sort=("item_id", "date"),
         partition_by=("store_id",),
@@ -87,19 +96,31 @@ def run_prepare_demand(
 
 
 def run_features(
-    spark: SparkSession, catalog_path: str, stages: StageFolder, catalog_format: str = "csv"
+    spark: SparkSession,
+    catalog_path: str,
+    stages: StageFolder,
+    catalog_format: str = "csv",
+    files_per_month: int = 0,
 ) -> dict[str, DataFrame]:
-    """Prepared series and catalog to the feature stage, partitioned by month for pruning."""
+    """Prepared series and catalog to the feature stage.
+
+    By default each task writes its rows in date order, so a period is found by Parquet
+    statistics without another shuffle. ``files_per_month`` instead gives one folder per
+    month with at most that many files.
+    """
     prepared = readers.read_demand(spark, stages.path("prepared_demand"))
     codes = cat.catalog_codes(readers.read_catalog(spark, catalog_path, catalog_format))
-    items = cat.item_codes(prepared)
-    built = features.build_features(prepared, items, codes, trusted=True)
-    sinks.write_stage(
-        built.withColumn("feature_month", F.date_format("date", "yyyy-MM")),
-        stages.path("features"),
-        sort=(*SERIES_KEYS, "date"),
-        partition_by=("feature_month",),
-    )
+    built = features.build_features(prepared, cat.item_codes(prepared), codes, trusted=True)
+    if files_per_month:
+        sinks.write_stage(
+            built.withColumn("feature_month", F.date_format("date", "yyyy-MM")),
+            stages.path("features"),
+            sort=(*SERIES_KEYS, "date"),
+            partition_by=("feature_month",),
+            files_per_partition=files_per_month,
+        )
+    else:
+        sinks.write_stage(built, stages.path("features"), sort=("date", *SERIES_KEYS))
     table = features.require_rows(spark.read.parquet(stages.path("features")), "feature table")
     return {"features": table, "report": features.feature_report(prepared, table)}
 

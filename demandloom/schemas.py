@@ -5,11 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark.sql import Window, WindowSpec
 from pyspark.sql import types as T
 
 SERIES_KEYS = ("store_id", "item_id")
 DAY_KEYS = ("date", "store_id", "item_id")
 
+
+def series_window() -> WindowSpec:
+    """Days of one series in order, the one window of all series operators.
+
+    The item comes first because it tells rows apart sooner than the store when they are sorted.
+    """
+    return Window.partitionBy("item_id", "store_id").orderBy("date")
+
+
+
 SALES = T.StructType(
     [
         T.StructField("date", T.DateType()),

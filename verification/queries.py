@@ -25,7 +25,7 @@ from demandloom.operators import (
     reconciliation,
     splits,
 )
-from demandloom.schemas import SERIES_KEYS
+from demandloom.schemas import DAY_KEYS, SERIES_KEYS
 from demandloom.session import pin, shared_folder
 from demandloom.sources import readers, sinks, views
 
@@ -37,8 +37,10 @@ _REGISTRY: dict[str, Query] = {}
 class Tables:
     """The retail tables and stages of one test folder, as lazy plans."""
 
-    def __init__(self, spark: SparkSession, folder: str, rule: str = "brand"):
-        self.spark, self.folder, self.rule = spark, folder, rule
+    def __init__(
+        self, spark: SparkSession, folder: str, rule: str = "brand", partitions: int | None = None
+    ):
+        self.spark, self.folder, self.rule, self.partitions = spark, folder, rule, partitions
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -58,7 +60,7 @@ class Tables:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return demand.daily_demand_from_raw(self.sales)
+        return demand.daily_demand_from_raw(self.sales, partitions=self.partitions)
 
     @cached_property
     def prepared(self) -> DataFrame:
@@ -71,7 +73,7 @@ class Tables:
     @cached_property
     def features(self) -> DataFrame:
         return features.build_features(
-            self.prepared, catalog.item_codes(self.sales), catalog.catalog_codes(self.catalog), trusted=True
+            self.prepared, catalog.item_codes(self.sales.dropna(subset=list(DAY_KEYS))), catalog.catalog_codes(self.catalog), trusted=True
         )
 
     @cached_property
