@@ -526,7 +526,8 @@ def statements() -> dict[str, str]:
            FROM prepared"""
     )
     result["features_full"] = s("SELECT * FROM features", _FEATURE_DOUBLES)
-    numbers = _FEATURE_DOUBLES.removesuffix(" target").split()
+    calendar = "day_of_week day_of_month month week_of_year is_weekend"
+    numbers = f"{_FEATURE_DOUBLES.removesuffix(' target')} {calendar}".split()
     codes = "item_code dept_code class_code subclass_code item_type_code".split()
     result["model_input"] = s(
         "SELECT * REPLACE ("
@@ -534,7 +535,7 @@ def statements() -> dict[str, str]:
         + ", store_id + 1 AS store_id, "
         + ", ".join(f"coalesce({c}, -1) + 1 AS {c}" for c in codes)
         + ") FROM features",
-        _FEATURE_DOUBLES.replace("price_change", "price_change:3").replace("price ", "price:3 ", 1),
+        f"{_FEATURE_DOUBLES.replace('price_change', 'price_change:3').replace('price ', 'price:3 ', 1)} {calendar}",
     )
     result["target_stats"] = s(
         """SELECT (SELECT count(*) FROM prepared) AS input_rows, count(*) AS output_rows,

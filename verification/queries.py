@@ -85,13 +85,28 @@ class Tables:
     def test(self) -> DataFrame:
         return splits.select_period(self.scored, SPEC.test)
 
+    # Stored stages, for queries that read one of them more than once.
+
+    @cached_property
+    def stored_daily(self) -> DataFrame:
+        return pin(self.daily, "daily")
+
+    @cached_property
+    def stored_prepared(self) -> DataFrame:
+        return pin(demand.prepare_demand(self.stored_daily), "prepared")
+
+    @cached_property
+    def stored_test(self) -> DataFrame:
+        scored = evaluation.naive_forecast(features.series_features(self.stored_prepared))
+        return pin(splits.select_period(scored, SPEC.test), "test")
+
     @cached_property
     def cases(self) -> DataFrame:
-        return pin(evaluation.top_errors(self.test), "cases")
+        return pin(evaluation.top_errors(self.stored_test), "cases")
 
     @cached_property
     def training_items(self) -> DataFrame:
-        return cohorts.items_in_period(self.prepared, SPEC.train)
+        return cohorts.items_in_period(self.stored_prepared, SPEC.train)
 
 
 def tidy(df: DataFrame, **digits: int) -> DataFrame:
@@ -193,7 +208,7 @@ def daily_demand_from_clean(t: Tables) -> DataFrame:
 
 @query()
 def daily_profile(t: Tables) -> DataFrame:
-    return checks.fold_rows(demand.daily_profile(t.daily), demand.demand_median(t.daily))
+    return checks.fold_rows(demand.daily_profile(t.stored_daily), demand.demand_median(t.stored_daily))
 
 
 @query()
@@ -213,12 +228,12 @@ def prepared_demand(t: Tables) -> DataFrame:
 
 @query()
 def preparation_report(t: Tables) -> DataFrame:
-    return demand.preparation_report(t.daily, t.prepared)
+    return demand.preparation_report(t.stored_daily, t.stored_prepared)
 
 
 @query()
 def preparation_by_store(t: Tables) -> DataFrame:
-    return demand.preparation_report(t.daily, t.prepared, ["store_id"])
+    return demand.preparation_report(t.stored_daily, t.stored_prepared, ["store_id"])
 
 
 @query()
@@ -253,7 +268,7 @@ def catalog_codes(t: Tables) -> DataFrame:
 
 @query()
 def item_codes(t: Tables) -> DataFrame:
-    return catalog.item_codes(t.prepared)
+    return catalog.item_codes(t.stored_prepared)
 
 
 @query()
@@ -288,7 +303,9 @@ def model_input(t: Tables) -> DataFrame:
 
 @query()
 def target_stats(t: Tables) -> DataFrame:
-    return features.feature_report(t.prepared, t.series_features)
+    return features.feature_report(
+        t.stored_prepared, features.series_features(t.stored_prepared)
+    )
 
 
 @query()
@@ -316,12 +333,12 @@ def evaluate_validation(t: Tables) -> DataFrame:
 
 @query()
 def error_distribution(t: Tables) -> DataFrame:
-    return evaluation.error_distribution(t.test)
+    return evaluation.error_distribution(t.stored_test)
 
 
 @query()
 def actual_vs_predicted(t: Tables) -> DataFrame:
-    return evaluation.demand_distribution(t.test)
+    return evaluation.demand_distribution(t.stored_test)
 
 
 @query()
@@ -331,7 +348,7 @@ def demand_totals(t: Tables) -> DataFrame:
 
 @query()
 def bias_summary(t: Tables) -> DataFrame:
-    return evaluation.bias_summary(t.test)
+    return evaluation.bias_summary(t.stored_test)
 
 
 @query()
@@ -346,7 +363,7 @@ def sse_by_range(t: Tables) -> DataFrame:
 
 @query()
 def high_demand(t: Tables) -> DataFrame:
-    return evaluation.high_demand_report(t.test)
+    return evaluation.high_demand_report(t.stored_test)
 
 
 @query(sse=2)
@@ -363,7 +380,7 @@ def top_errors(t: Tables) -> DataFrame:
 
 @query(total_sse=2, top_sse=2)
 def top_error_sse_share(t: Tables) -> DataFrame:
-    return evaluation.top_error_share(t.test)
+    return evaluation.top_error_share(t.stored_test)
 
 
 @query()
@@ -380,7 +397,7 @@ def _series_text(name: str):
 
 @query()
 def spike_windows(t: Tables) -> DataFrame:
-    context = investigation.spike_context(t.cases, t.prepared)
+    context = investigation.spike_context(t.cases, t.stored_prepared)
     series = ("prior_28d_series", "post_7d_series")
     return context.select(
         *[c for c in context.columns if c not in series], *[_series_text(c) for c in series]
@@ -394,25 +411,25 @@ def rolling_context(t: Tables) -> DataFrame:
 
 @query(raw_sum_total=4)
 def spike_classification(t: Tables) -> DataFrame:
-    found = investigation.investigate_errors(t.cases, t.prepared, t.sales, t.catalog)
+    found = investigation.investigate_errors(t.cases, t.stored_prepared, t.sales, t.catalog)
     return found.drop("prior_28d_series", "post_7d_series")
 
 
 @query()
 def classification_counts(t: Tables) -> DataFrame:
     return investigation.classification_counts(
-        investigation.investigate_errors(t.cases, t.prepared, t.sales, t.catalog)
+        investigation.investigate_errors(t.cases, t.stored_prepared, t.sales, t.catalog)
     )
 
 
 @query(sse=2)
 def cohort_metrics(t: Tables) -> DataFrame:
-    return cohorts.cohort_metrics(t.test, t.training_items, views.ANOMALY_ITEM)
+    return cohorts.cohort_metrics(t.stored_test, t.training_items, views.ANOMALY_ITEM)
 
 
 @query()
 def unseen_items(t: Tables) -> DataFrame:
-    return cohorts.unseen_items(t.test, t.training_items, t.catalog)
+    return cohorts.unseen_items(t.stored_test, t.training_items, t.catalog)
 
 
 @query()
@@ -462,12 +479,12 @@ def reconcile_daily_by_item(t: Tables) -> DataFrame:
 
 @query()
 def reconcile_prepared(t: Tables) -> DataFrame:
-    return reconciliation.reconcile_prepared(t.daily, t.prepared)
+    return reconciliation.reconcile_prepared(t.stored_daily, t.stored_prepared)
 
 
 @query()
 def reconcile_prepared_by_item(t: Tables) -> DataFrame:
-    return reconciliation.reconcile_prepared_by_item(t.daily, t.prepared)
+    return reconciliation.reconcile_prepared_by_item(t.stored_daily, t.stored_prepared)
 
 
 @query(sum_total=4)
@@ -483,7 +500,7 @@ def item_presence(t: Tables) -> DataFrame:
 @query(value=4)
 def audit_report_long(t: Tables) -> DataFrame:
     return reconciliation.audit_report(
-        t.sales, t.daily, t.prepared, t.catalog, t.price_history, t.discounts_history
+        t.sales, t.stored_daily, t.stored_prepared, t.catalog, t.price_history, t.discounts_history
     )
 
 
