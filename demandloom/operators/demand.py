@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.calendar import day_span
 from demandloom.functions.scoring import percentage
-from demandloom.operators.checks import null_count_columns
+from demandloom.operators.checks import fold_rows
 from demandloom.operators.cleaning import drop_index_column, median_positive_price, without_returns
 from demandloom.operators.quantiles import exact_median
 from demandloom.schemas import DAY_KEYS, SERIES_KEYS, series_window
@@ -70,17 +71,28 @@ def daily_demand_from_raw(
     )
 
 
+def _surplus_keys(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows beyond the first per date, store and item; shuffles the keys only."""
+    copies = df.groupBy(*DAY_KEYS).agg(F.count(F.lit(1)).alias("_copies"))
+    return copies.groupBy(*by).agg(
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_keys")
+    )
+
+
 def daily_profile(daily: DataFrame) -> DataFrame:
     """One row describing a ``(date, store, item, daily_demand, price)`` table.
 
-    Three steps, each aggregated where the rows are: per key, per series, overall. Distinct
-    items and stores are then counted over series, not over rows.
+    Rows are reduced to counters per series where they are read; distinct items and stores
+    are then counted over series. Only the duplicate check shuffles something per row.
     """
     demand, price = F.col("daily_demand"), F.col("price")
-    keyed = daily.groupBy(*DAY_KEYS).agg(
+    series = daily.groupBy(*SERIES_KEYS).agg(
         F.count(F.lit(1)).alias("_rows"),
+        F.count("date").alias("_dates"),
         F.count("daily_demand").alias("_demands"),
         F.count("price").alias("_prices"),
+        F.min("date").alias("_min_date"),
+        F.max("date").alias("_max_date"),
         F.min(demand).alias("_min_demand"),
         F.max(demand).alias("_max_demand"),
         F.sum(demand).alias("_sum_demand"),
@@ -91,16 +103,6 @@ def daily_profile(daily: DataFrame) -> DataFrame:
         F.sum(price).alias("_sum_price"),
         F.count_if(price < 0).alias("_negative_price"),
     )
-    added = ["_rows", "_demands", "_prices", "_sum_demand", "_negative", "_zero", "_sum_price", "_negative_price"]
-    series = keyed.groupBy(*SERIES_KEYS).agg(
-        F.count(F.lit(1)).alias("_keys"),
-        F.sum(F.when(F.col("date").isNull(), F.col("_rows")).otherwise(0)).alias("_null_date"),
-        F.min("date").alias("_min_date"),
-        F.max("date").alias("_max_date"),
-        *[F.sum(c).alias(c) for c in added],
-        *[F.min(c).alias(c) for c in ("_min_demand", "_min_price")],
-        *[F.max(c).alias(c) for c in ("_max_demand", "_max_price")],
-    )
 
     def total(name: str) -> Column:
         return F.coalesce(F.sum(name), F.lit(0))
@@ -114,12 +116,11 @@ def daily_profile(daily: DataFrame) -> DataFrame:
         F.count_distinct("store_id").alias("unique_stores"),
         F.min("_min_date").alias("min_date"),
         F.max("_max_date").alias("max_date"),
-        total("_null_date").alias("null_date"),
+        (total("_rows") - total("_dates")).alias("null_date"),
         rows_where(F.col("store_id").isNull()).alias("null_store_id"),
         rows_where(F.col("item_id").isNull()).alias("null_item_id"),
         (total("_rows") - total("_demands")).alias("null_daily_demand"),
         (total("_rows") - total("_prices")).alias("null_price"),
-        (total("_rows") - total("_keys")).alias("duplicate_combinations"),
         F.min("_min_demand").alias("min_daily_demand"),
         F.max("_max_demand").alias("max_daily_demand"),
         (F.sum("_sum_demand") / F.nullif(F.sum("_demands"), F.lit(0))).alias("mean_daily_demand"),
@@ -130,7 +131,8 @@ def daily_profile(daily: DataFrame) -> DataFrame:
         (F.sum("_sum_price") / F.nullif(F.sum("_prices"), F.lit(0))).alias("mean_price"),
         total("_negative_price").alias("negative_price_count"),
     )
-    return profile.withColumn(
+    surplus = _surplus_keys(daily).withColumnRenamed("duplicate_keys", "duplicate_combinations")
+    return fold_rows(profile, surplus).withColumn(
         "negative_daily_demand_pct",
         percentage(F.col("negative_daily_demand_count"), F.col("number_of_rows")),
     )
@@ -210,48 +212,43 @@ def prepare_demand(daily: DataFrame, partitions: int | None = None) -> DataFrame
 def _stage_counts(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Counters of one table, per series first so that distinct counts stay small."""
     demand = F.col("daily_demand")
-    per_key = df.groupBy(*DAY_KEYS).agg(
+    counters = ("rows", "negative", "null_demand", "null_price")
+    per_series = df.groupBy(*SERIES_KEYS).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(demand < 0).alias("negative"),
         F.count_if(demand.isNull()).alias("null_demand"),
         F.count_if(F.col("price").isNull()).alias("null_price"),
-        F.min(demand).alias("min_demand"),
-        F.max(demand).alias("max_demand"),
-    )
-    per_series = per_key.groupBy(*SERIES_KEYS).agg(
-        F.count(F.lit(1)).alias("keys"),
-        *[F.sum(c).alias(c) for c in ("rows", "negative", "null_demand", "null_price")],
         F.min("date").alias("min_date"),
         F.max("date").alias("max_date"),
-        F.min("min_demand").alias("min_demand"),
-        F.max("max_demand").alias("max_demand"),
+        F.min(demand).alias("min_demand"),
+        F.max(demand).alias("max_demand"),
     )
     return per_series.groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in ("rows", "keys", "negative", "null_demand", "null_price")],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters],
         F.count_distinct("item_id").alias("items"),
         F.count_distinct("store_id").alias("stores"),
-        F.min("min_date").alias("min_date"),
-        F.max("max_date").alias("max_date"),
-        F.min("min_demand").alias("min_demand"),
-        F.max("max_demand").alias("max_demand"),
+        *[F.min(c).alias(c) for c in ("min_date", "min_demand")],
+        *[F.max(c).alias(c) for c in ("max_date", "max_demand")],
     )
 
 
 def preparation_report(daily: DataFrame, prepared: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """What preparation did, overall or per store (``by=["store_id"]``).
 
-    Both tables are reduced to their counters first; the two small results are stacked and
-    folded into one row per group.
+    Both tables are reduced to their counters first; the small results are stacked and folded
+    into one row per group.
     """
     by = list(by)
-    stacked = (
-        _stage_counts(daily, by)
-        .withColumn("_stage", F.lit("daily"))
-        .unionByName(_stage_counts(prepared, by).withColumn("_stage", F.lit("prepared")))
-    )
+    parts = {
+        "daily": _stage_counts(daily, by),
+        "prepared": _stage_counts(prepared, by),
+        "surplus": _surplus_keys(prepared, by),
+    }
+    labelled = [df.withColumn("_part", F.lit(part)) for part, df in parts.items()]
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), labelled)
 
-    def pick(stage: str, name: str) -> Column:
-        return F.max(F.when(F.col("_stage") == stage, F.col(name)))
+    def pick(part: str, name: str) -> Column:
+        return F.max(F.when(F.col("_part") == part, F.col(name)))
 
     before, after = pick("daily", "rows"), pick("prepared", "rows")
     return stacked.groupBy(*by).agg(
@@ -262,7 +259,7 @@ def preparation_report(daily: DataFrame, prepared: DataFrame, by: Sequence[str]
         pick("prepared", "negative").alias("negative_demand_after"),
         pick("prepared", "null_demand").alias("null_demand"),
         pick("prepared", "null_price").alias("null_prices"),
-        (after - pick("prepared", "keys")).alias("duplicate_keys"),
+        pick("surplus", "duplicate_keys").alias("duplicate_keys"),
         pick("prepared", "items").alias("unique_products"),
         pick("prepared", "stores").alias("unique_stores"),
         pick("prepared", "min_date").alias("min_date"),

@@ -49,6 +49,14 @@ def distinct_counts(sales: DataFrame) -> DataFrame:
     )
 
 
+def sales_with_catalog(sales: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The plain left join, a row per catalog copy; for previews.
+
+    The totals below give what a grouping of this join gives, without building it.
+    """
+    return sales.join(catalog, "item_id", "left")
+
+
 def quantity_by_item(sales: DataFrame, catalog: DataFrame) -> DataFrame:
     """Quantity per item over the sales-catalog join.
 

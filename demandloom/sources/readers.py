@@ -56,9 +56,14 @@ def read_sales(spark: SparkSession, path: str, format: str = "csv", columns: Seq
 
 
 def read_catalog(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
-    """Catalog rows with ``row_order``: the place in the file, which decides among duplicates."""
+    """Catalog rows with ``row_order``: the place in the files, which decides among duplicates.
+
+    A staged table must bring an order column of its own under that name.
+    """
     if format == "csv":
-        return read_table(spark, path, CATALOG).withColumn("row_order", F.monotonically_increasing_id())
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+        text = spark.read.option("header", True).csv(path)
+        return text.select(*[_typed(f.name, f.dataType) for f in CATALOG.fields], place.alias("row_order"))
     return spark.read.format(format).load(path)
 
 

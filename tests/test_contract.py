@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from conftest import SMALL
 from verification.check import compare, duckdb_tables
+from verification.queries import Tables, over
 
 NAMES = list(contract.queries())
 
@@ -14,9 +15,15 @@ def con():
     return duckdb_tables(SMALL)
 
 
+@pytest.fixture(scope="module")
+def tables(spark):
+    """Shared by all queries, so that each stage is stored once."""
+    return Tables(spark, SMALL)
+
+
 @pytest.mark.parametrize("name", [n for n in NAMES if n in contract.oracle_sql()])
-def test_query_agrees_with_sql(spark, con, name):
-    df = contract.queries()[name](spark, SMALL)
+def test_query_agrees_with_sql(tables, con, name):
+    df = over(tables, name)
     verdict, _ = compare(con, name, df)
     assert verdict == "ok"
     plan = df._jdf.queryExecution().executedPlan().toString()

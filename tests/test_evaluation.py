@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from demandloom.operators import cohorts, evaluation, investigation, reconciliation, splits
+from demandloom.operators import cohorts, evaluation, exploration, investigation, reconciliation, splits
 from demandloom.schemas import Period, SplitSpec
 
 DAY = dt.date(2024, 7, 10)
@@ -204,3 +204,16 @@ def test_near_zero_price_item_audit(make_sales):
     assert reconciliation.transaction_granularity(sales).first().already_daily
     by_store = {r.store_id: r for r in reconciliation.item_by_store(sales).collect()}
     assert by_store[4].record_count == 25 and by_store[4].qty_max == 424.0
+
+
+def test_catalog_copies_count_as_in_the_plain_join(spark, make_sales):
+    sales = make_sales([(0, 1, "a", 2.0, 1.0, 2.0), (1, 1, "a", 3.0, 1.0, 3.0), (0, 1, "b", 7.0, 1.0, 7.0), (0, 1, None, 9.0, 1.0, 9.0)])
+    catalog = spark.createDataFrame([("a", "D1"), ("a", "D1"), ("a", "D2"), ("c", "D3")], "item_id string, dept_name string")
+    joined = exploration.sales_with_catalog(sales, catalog)
+    assert exploration.joined_row_count(sales, catalog).first().rows == joined.count() == 8
+    for key, totals in (
+        ("item_id", exploration.top_items(sales, catalog)),
+        ("dept_name", exploration.department_sales(sales, catalog)),
+    ):
+        expected = joined.where(f"{key} IS NOT NULL").groupBy(key).agg(F.sum("quantity")).collect()
+        assert dict(map(tuple, totals.collect())) == dict(map(tuple, expected))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from demandloom.operators.catalog import catalog_codes
 from demandloom.operators.ordinals import label_ordinals, ordinal_codes
 
@@ -5,7 +7,14 @@ from demandloom.operators.ordinals import label_ordinals, ordinal_codes
 def test_positions_follow_sort_order_over_many_partitions(spark):
     names = sorted({f"{(i * 7919) % 100003:x}" for i in range(3000)})
     df = spark.createDataFrame([(n,) for n in reversed(names)] * 2 + [(None,)], "item_id string")
-    found = dict(ordinal_codes(df.repartition(13), "item_id", "code").collect())
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        codes = ordinal_codes(df.repartition(13), "item_id", "code")
+        assert codes.select(F.spark_partition_id()).distinct().count() > 1
+        found = dict(codes.collect())
+    finally:
+        spark.conf.unset(coalesce)
     assert found == {name: i for i, name in enumerate(names)}
 
 

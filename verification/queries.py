@@ -31,7 +31,6 @@ from demandloom.sources import readers, sinks, views
 
 SPEC = views.VIEW_SPLITS
 Query = Callable[[SparkSession, str], DataFrame]
-_REGISTRY: dict[str, Query] = {}
 
 
 class Tables:
@@ -119,16 +118,29 @@ def tidy(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns(rounded) if rounded else df
 
 
+_REGISTRY: dict[str, Callable[[Tables], DataFrame]] = {}
+
+
 def query(**digits: int) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        _REGISTRY[build.__name__] = lambda spark, folder: tidy(build(Tables(spark, folder)), **digits)
+        _REGISTRY[build.__name__] = lambda tables: tidy(build(tables), **digits)
         return build
 
     return register
 
 
+def over(tables: Tables, name: str) -> DataFrame:
+    """One query over given tables; several queries may share their stored stages."""
+    return _REGISTRY[name](tables)
+
+
 def registered() -> dict[str, Query]:
-    return dict(_REGISTRY)
+    """Name -> query over a folder, each with stages of its own."""
+
+    def bind(name: str) -> Query:
+        return lambda spark, folder: over(Tables(spark, folder), name)
+
+    return {name: bind(name) for name in _REGISTRY}
 
 
 # --- cleaning -----------------------------------------------------------------------------
