@@ -44,7 +44,7 @@ def ordinal_codes(df: DataFrame, key: str, code: str) -> DataFrame:
 
 
 def label_ordinals(df: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """``(field, label, code)`` for several label columns in one pass."""
+    """``(field, label, code)`` for several label columns in one pass, pinned for the lookups."""
     pairs = (
         df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("field"), F.col(c).alias("label")) for c in labels
@@ -55,6 +55,7 @@ def label_ordinals(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     )
     placed = sorted_positions(pairs, ["field", "label"], "_pos")
     firsts = placed.groupBy("field").agg(F.min("_pos").alias("_first"))
-    return placed.join(F.broadcast(firsts), "field").select(  # one row per label column
+    coded = placed.join(F.broadcast(firsts), "field").select(  # one row per label column
         "field", "label", (F.col("_pos") - F.col("_first")).cast("int").alias("code")
     )
+    return pin(coded, "label-codes")

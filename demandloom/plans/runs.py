@@ -7,9 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.operators import (
-    catalog as cat,
-)
+from demandloom.operators import catalog as cat
 from demandloom.operators import (
     cleaning,
     cohorts,
@@ -45,8 +43,14 @@ def run_daily_demand(
     keep_returns: bool = True,
     repair_prices: bool = True,
 ) -> dict[str, DataFrame]:
-    """Raw sales to the daily stage, with its audit, price report, validation and trend."""
-    sales = readers.read_sales(spark, sales_path, format)
+    """Raw sales to the daily stage, with its audit, price report, validation and trend.
+
+    Text is parsed once: the typed rows become the ``sales`` stage, which this and all later
+    runs scan by column.
+    """
+    has_index = cleaning.INDEX_COLUMN in readers.column_names(spark, sales_path, format)
+    sinks.write_stage(readers.read_sales(spark, sales_path, format), stages.path("sales"))
+    sales = readers.read_sales(spark, stages.path("sales"), "parquet")
     kept = sales if keep_returns else cleaning.without_returns(sales)
     daily = (
         demand.daily_demand_from_raw(kept)
@@ -57,7 +61,7 @@ def run_daily_demand(
     daily = readers.read_demand(spark, stages.path("daily_demand"))
     return {
         "daily_demand": daily,
-        "audit": cleaning.audit_sales(sales),
+        "audit": cleaning.audit_sales(sales).withColumn("has_index_column", F.lit(has_index)),
         "duplicates": cleaning.sales_duplicates(sales),
         "price_correction": cleaning.price_correction_report(kept),
         "unmatched_prices": cleaning.unmatched_prices(kept),
@@ -175,7 +179,6 @@ def run_error_analysis(spark: SparkSession, stages: StageFolder, spec: SplitSpec
 
 def run_investigation(
     spark: SparkSession,
-    sales_path: str,
     catalog_path: str,
     stages: StageFolder,
     spec: SplitSpec,
@@ -188,7 +191,7 @@ def run_investigation(
     found = investigation.investigate_errors(
         cases,
         readers.read_demand(spark, stages.path("prepared_demand")),
-        readers.read_sales(spark, sales_path, format),
+        readers.read_sales(spark, stages.path("sales"), "parquet"),
         readers.read_catalog(spark, catalog_path, format),
     )
     sinks.write_stage(found, stages.path("extreme_errors"))
@@ -230,11 +233,11 @@ def run_item_audit(
 ) -> dict[str, DataFrame]:
     """Data-quality audit of one item, or of all.
 
-    ``paths`` names the files of ``sales``, ``catalog``, ``price_history`` and
-    ``discounts_history``; the last two may be missing.
+    ``paths`` names the files of ``catalog``, ``price_history`` and ``discounts_history``; the
+    last two may be missing.
     """
     tables = {
-        "sales": readers.read_sales(spark, paths["sales"], format),
+        "sales": readers.read_sales(spark, stages.path("sales"), "parquet"),
         "daily": readers.read_demand(spark, stages.path("daily_demand")),
         "prepared": readers.read_demand(spark, stages.path("prepared_demand")),
         "catalog": readers.read_catalog(spark, paths["catalog"], format),

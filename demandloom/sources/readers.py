@@ -50,6 +50,11 @@ def read_table(
     )
 
 
+def column_names(spark: SparkSession, path: str, format: str = "csv") -> list[str]:
+    """All columns of a table on disk, known or not; reads no rows."""
+    return spark.read.option("header", True).format(format).load(path).columns
+
+
 def read_sales(spark: SparkSession, path: str, format: str = "csv", columns: Sequence[str] | None = None) -> DataFrame:
     """Point-of-sale rows; an index column in the file is left out."""
     return read_table(spark, path, SALES, format, columns)

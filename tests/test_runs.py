@@ -43,6 +43,7 @@ def test_chain(spark, files):
     daily = runs.run_daily_demand(spark, sales, stages)
     assert daily["validation"].first().duplicate_combinations == 0
     assert daily["audit"].first().total_records > daily["daily_demand"].count() - 1
+    assert daily["audit"].first().has_index_column
     assert daily["price_correction"].first().unmatched_count == daily["unmatched_prices"].count()
 
     prepared = runs.run_prepare_demand(spark, stages, files_per_store=2)
@@ -67,7 +68,7 @@ def test_chain(spark, files):
     sections = runs.run_error_analysis(spark, stages, SPEC)
     assert {name: df.count() > 0 for name, df in sections.items()} == dict.fromkeys(sections, True)
 
-    found = runs.run_investigation(spark, sales, catalog, stages, SPEC, top_n=5)
+    found = runs.run_investigation(spark, catalog, stages, SPEC, top_n=5)
     assert found["cases"].count() == 5
     assert sum(r.cases for r in found["classification"].collect()) == 5
 
@@ -77,7 +78,6 @@ def test_chain(spark, files):
     assert audit["cohorts"].count() == 9
 
     paths = {
-        "sales": sales,
         "catalog": catalog,
         "price_history": str(files / "price_history.csv"),
         "discounts_history": str(files / "discounts_history.csv"),
