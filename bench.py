@@ -21,7 +21,7 @@ from demandloom.operators import catalog as cat
 from demandloom.operators import cleaning
 from demandloom.session import local_session, pin
 from demandloom.sources.views import ANOMALY_ITEM
-from verification.queries import SPEC, Tables
+from demandloom.verification.queries import SPEC, Tables
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")

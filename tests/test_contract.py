@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SMALL
-from verification.check import compare, duckdb_tables
-from verification.queries import Tables, over
+from demandloom.verification.check import compare, duckdb_tables
+from demandloom.verification.queries import Tables, over
 
 NAMES = list(contract.queries())
 

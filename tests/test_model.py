@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from demandloom.operators import evaluation, model, splits
 from demandloom.session import pin
-from verification.queries import SPEC, Tables
+from demandloom.verification.queries import SPEC, Tables
 
 
 @pytest.mark.parametrize(

@@ -9,7 +9,7 @@ from conftest import SMALL
 from demandloom.operators import cleaning, cohorts, evaluation, features, investigation, splits
 from demandloom.operators.demand import aggregate_daily_demand, prepare_demand
 from demandloom.session import pin
-from verification.queries import SPEC, Tables
+from demandloom.verification.queries import SPEC, Tables
 
 
 def plan(df) -> str:
