@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from demandloom.operators import cleaning, cohorts, evaluation, features, investigation, splits
-from demandloom.operators.demand import aggregate_daily_demand, prepare_demand
+from demandloom.operators.demand import aggregate_daily_demand, daily_demand_from_raw, prepare_demand
 from demandloom.session import pin
 from demandloom.verification.queries import SPEC, Tables
 
@@ -83,3 +83,29 @@ def test_training_items_meet_item_sums_not_rows(tables):
     text = plan(cohorts.cohort_metrics(test, known, "x"))
     join = text.index("LeftOuter")
     assert "partial_sum" in text[join:]
+
+
+def test_a_hot_series_is_reduced_before_it_is_shuffled(spark, make_sales):
+    """A third of all rows in one series: the shuffles carry its days and prices, not its rows."""
+    hot = [(d % 30, 1, "hot", 1.0, float(d % 7 - 1), 1.0) for d in range(6000)]
+    rest = [(d % 30, 1 + d % 4, f"i{d % 500}", 1.0, 2.0, 2.0) for d in range(12000)]
+    sales = pin(make_sales(hot + rest).coalesce(2), "hot")
+    daily = daily_demand_from_raw(sales)
+    rows = {r.date.day: r for r in daily.where("item_id = 'hot'").collect()}
+    assert len(rows) == 30 and sum(r.daily_demand for r in rows.values()) == 6000.0
+    text = plan(daily)
+    for below_exchange in text.split("Exchange hashpartitioning(date")[1:]:
+        assert "partial_sum(quantity" in below_exchange.split("\n", 2)[1]
+    for below_exchange in text.split("Exchange hashpartitioning(store_id")[1:]:
+        assert "Scan parquet" not in below_exchange.split("\n", 2)[1]
+
+
+def test_no_broadcast_is_forced_on_item_tables(tables, spark):
+    """With broadcasting switched off, the item dimension is shuffled and the result holds."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = tables.features
+        assert "BroadcastHashJoin" not in plan(built)
+        assert built.count() == tables.series_features.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
