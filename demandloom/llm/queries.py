@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import mixing, sharding, url_filter
+from demandloom.llm import mixing, quality, sharding, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, folder, "pages"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
