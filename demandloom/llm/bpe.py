@@ -85,7 +85,7 @@ class Tokenizer:
 
     def _start(self) -> None:
         self.split = regex.compile(self.pattern).findall
-        self.pairs: dict[int, int] = {}
+        self.pairs = _Pairs(self)
         self.texts = {str(rank): token for rank, token in self.bytes.items()}
         self.memo = _Memo(self)
 
@@ -96,46 +96,40 @@ class Tokenizer:
         self.__dict__.update(state)
         self._start()
 
-    def _pair(self, left: int, right: int) -> int:
-        """Rank of two neighbours joined, -1 if they can't be."""
-        key = left << 32 | right
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= 500_000:
-                self.pairs.clear()
-            found = self.pairs[key] = self.table.get(self.bytes[left] + self.bytes[right])
-        return found
-
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary."""
-        single, pair = self.single, self._pair
-        ids = [single[b] for b in piece]
+        ranks = self.pairs
+        ids = [self.single[b] for b in piece]
         n = len(ids)
-        following, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ahead = [pair(ids[i], ids[i + 1]) for i in range(n - 1)] + [-1]
+        # ahead[i]: rank of the symbol at i joined with the next one
+        ahead = [ranks[a << 32 | b] for a, b in zip(ids, ids[1:])]
         heap = [rank << 32 | i for i, rank in enumerate(ahead) if rank >= 0]
+        if not heap:
+            return ids
+        ahead.append(-1)
+        following, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heapq.heapify(heap)
         while heap:
             top = heapq.heappop(heap)
             rank, i = top >> 32, top & 0xFFFFFFFF
             if ahead[i] != rank:  # one of the two has been merged meanwhile
                 continue
-            j = following[i]
             ids[i] = rank
+            j = following[i]
             ahead[j] = -2
             after = following[i] = following[j]
             if after < n:
                 before[after] = i
-                ahead[i] = pair(rank, ids[after])
-                if ahead[i] >= 0:
-                    heapq.heappush(heap, ahead[i] << 32 | i)
+                joined = ahead[i] = ranks[rank << 32 | ids[after]]
+                if joined >= 0:
+                    heapq.heappush(heap, joined << 32 | i)
             else:
                 ahead[i] = -1
             back = before[i]
             if back >= 0:
-                ahead[back] = pair(ids[back], rank)
-                if ahead[back] >= 0:
-                    heapq.heappush(heap, ahead[back] << 32 | back)
+                joined = ahead[back] = ranks[ids[back] << 32 | rank]
+                if joined >= 0:
+                    heapq.heappush(heap, joined << 32 | back)
         out, i = [], 0
         while i < n:
             out.append(ids[i])
@@ -163,10 +157,24 @@ class Tokenizer:
         return b"".join(map(self.texts.__getitem__, joined.split(","))) if joined else b""
 
 
+class _Pairs(dict):
+    """Ranks of neighbours joined, -1 if they can't be; asked of the perfect hash once."""
+
+    def __init__(self, tokenizer: Tokenizer, limit: int = 500_000) -> None:
+        super().__init__()
+        self.bytes, self.table, self.limit = tokenizer.bytes, tokenizer.table, limit
+
+    def __missing__(self, pair: int) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        rank = self[pair] = self.table.get(self.bytes[pair >> 32] + self.bytes[pair & 0xFFFFFFFF])
+        return rank
+
+
 class _Memo(dict):
     """Recent pre-tokens: when the young half is full it becomes the old one, which is let go."""
 
-    def __init__(self, tokenizer: Tokenizer, limit: int = 200_000) -> None:
+    def __init__(self, tokenizer: Tokenizer, limit: int = 300_000) -> None:
         super().__init__()
         self.tokenizer, self.limit, self.old = tokenizer, limit, {}
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import mixing, quality, sharding, toxicity, url_filter
+from demandloom.llm import bpe, minhash, mixing, quality, sharding, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,17 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.token_digests(_table(spark, folder, "documents"), bpe.Tokenizer(ranks, public_tokenizers.PATTERN))
+
+
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
