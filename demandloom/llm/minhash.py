@@ -217,7 +217,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, scratch: Scratch, k: int,
     members = classes.select("doc_id", "node").join(involved, "node")
     sets = scratch.keep("sets", full_sets(docs, members, size))
     sketches = scratch.keep("sketches", classes.select("node", "sketch").join(involved, "node"))
-    links, tried, roots = None, None, None
+    tried, roots = None, None
     for step in range(STAR_ROUNDS + 1):
         placed = lists.withColumn("root", F.col("node"))
         if roots is not None:
@@ -240,10 +240,16 @@ def link_classes(docs: DataFrame, classes: DataFrame, scratch: Scratch, k: int,
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         fresh = scratch.keep(f"pairs-{step}", pairs)
+        if fresh.isEmpty():
+            continue
         found = scratch.keep(f"links-{step}", verified(plausible(fresh, sketches, k, percent), sets, percent))
         tried = fresh if tried is None else tried.union(fresh)
-        links = found if links is None else links.union(found)
-        roots = components(links, scratch, f"roots-{step}")
+        if not found.isEmpty():
+            # groups so far are stars already: only they and the new links are joined
+            links = found if roots is None else found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = components(links, scratch, f"roots-{step}")
+    if roots is None:
+        roots = lists.limit(0).select("node", F.col("node").alias("root"))
     return roots
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import bpe, minhash, mixing, quality, sharding, toxicity, url_filter
+from demandloom.llm import bpe, imatch, minhash, mixing, quality, sharding, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.compare_with_edits(_table(spark, folder, "documents"))
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
