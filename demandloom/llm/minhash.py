@@ -105,10 +105,11 @@ def _required(values: Column, k: int, percent: int) -> Column:
     return F.when(values < k, F.least(whole, F.lit(required_overlap(k, percent)))).otherwise(required_overlap(k, percent))
 
 
-def inverted_lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
+def inverted_lists(classes: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """``value, node, n_shingles``: each class under its rarest sketch values that others have too."""
     entries = classes.select("node", "n_shingles", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
-    shared = entries.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    # written, so that the values of common passages can be split in the join
+    shared = scratch.keep("shared", entries.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"))
     # Values that no other class has are the rarest: they fill the first places of the order.
     kept = (
         entries.join(shared, "value")
@@ -212,7 +213,7 @@ def full_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
 
 def link_classes(docs: DataFrame, classes: DataFrame, scratch: Scratch, k: int, percent: int, size: int) -> DataFrame:
     """``(node, root)`` of the classes that are linked to others."""
-    lists = scratch.keep("lists", inverted_lists(classes, k, percent))
+    lists = scratch.keep("lists", inverted_lists(classes, k, percent, scratch))
     involved = lists.select("node").distinct()
     members = classes.select("doc_id", "node").join(involved, "node")
     sets = scratch.keep("sets", full_sets(docs, members, size))
@@ -224,11 +225,11 @@ def link_classes(docs: DataFrame, classes: DataFrame, scratch: Scratch, k: int,
             placed = (
                 lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             )
-        open_lists = placed.groupBy("value").agg(
+        open_lists = scratch.keep(f"open-{step}", placed.groupBy("value").agg(
             F.min("root").alias("least"),
             F.max("root").alias("most"),
             F.min_by(F.struct("node", "root", "n_shingles"), F.xxhash64("node", F.lit(step))).alias("pivot"),
-        ).filter("least <> most")
+        ).filter("least <> most"))
         if step < STAR_ROUNDS:
             pairs = placed.join(open_lists, "value").filter(
                 (F.col("root") != F.col("pivot.root")) & _sized("n_shingles", "pivot.n_shingles", percent)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import bpe, imatch, minhash, mixing, quality, sharding, toxicity, url_filter
+from demandloom.llm import bpe, imatch, minhash, mixing, quality, sharding, substrings, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op7_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.compare_with_edits(_table(spark, folder, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, folder, "documents"), texts_too=False)
+
+
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
