@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, imatch, minhash, mixing, quality, sharding, substrings, toxicity, url_filter
+from demandloom.llm import ann, bpe, imatch, minhash, mixing, quality, sharding, substrings, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +28,21 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
-def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+def public_tokenizer() -> bpe.Tokenizer:
+    """The multilingual byte-level vocabulary; its path is a parameter of the operator only."""
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.token_digests(_table(spark, folder, "documents"), bpe.Tokenizer(ranks, public_tokenizers.PATTERN))
+    return bpe.Tokenizer(ranks, public_tokenizers.PATTERN)
+
+
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.token_digests(_table(spark, folder, "documents"), public_tokenizer())
+
+
+def op5_learned_partition_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,7 +54,7 @@ def op7_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substrings.without_repeats(_table(spark, folder, "documents"), texts_too=False)
+    return substrings.without_repeats(_table(spark, folder, "documents"))
 
 
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -187,48 +187,86 @@ def _lists(column: pa.Array) -> pa.ListArray:
     return pa.array([x if x is not None else [] for x in column.to_pylist()], pa.list_(pa.int64())) if column.null_count else column
 
 
-def without_repeats(docs: DataFrame, size: int = MIN_WORDS, texts_too: bool = True) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256`` of each row of ``docs``, with ``kept_text`` if wanted.
-
-    A word goes if a window of ``size`` words that covers it also starts in a document with a smaller id;
-    windows are judged on the input. The kept words are joined by one space. NULL and empty texts have
-    no words. Rows with a NULL id take no part: they lose nothing and nothing is lost to them. Rows
-    that repeat an id are one document: a window is no repeat within it, though each row loses what
-    its own text has from smaller ids. Extra columns are ignored; an empty table gives no rows.
-    """
-    scratch = Scratch(docs.sparkSession, "substrings")
-    own = _texts(docs)
+def _later_windows(own: DataFrame, size: int, scratch: Scratch) -> DataFrame:
+    """``doc_id, windows``: hashes of a document's windows that also start in a smaller id."""
     repeats = repeated_windows(own.filter("doc_id IS NOT NULL"), size, scratch)
     later = scratch.keep(
         "later",
         repeats.filter("first_id < doc_id").groupBy("doc_id").agg(F.collect_set("window").alias("windows")),
     )
     scratch.drop("candidates", "first")
-    joined = own.join(later, "doc_id", "left")
+    return later
+
+
+def _kept_texts(rows: pa.RecordBatch, texts: list[bytes], size: int) -> tuple[np.ndarray, list[int], list[bytes]]:
+    """Words, removed words, and the kept words joined by one space, of each text."""
+    words, hashes = word_hashes(texts)
+    gone = covered_words(words, hashes, size, _lists(rows.column("windows")))
+    ends = np.cumsum(words.counts)
+    removed, kept = [], []
+    for i, (n, end) in enumerate(zip(words.counts.tolist(), ends.tolist())):
+        keep = np.flatnonzero(~gone[end - n : end]) + end - n
+        text, shift = texts[i], int(words.offsets[i])
+        spans = zip((words.starts[keep] - shift).tolist(), (words.ends[keep] - shift).tolist())
+        kept.append(b" ".join([text[a:b] for a, b in spans]))
+        removed.append(n - len(keep))
+    return words.counts, removed, kept
+
+
+def without_repeats(docs: DataFrame, size: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, n_words, n_removed, kept_sha256`` of each row of ``docs``.
+
+    A word goes if a window of ``size`` words that covers it also starts in a document with a smaller id;
+    windows are judged on the input. The digest is of the kept words joined by one space. NULL and empty
+    texts have no words. Rows with a NULL id take no part: they lose nothing and nothing is lost to them.
+    Rows that repeat an id are one document: a window is no repeat within it, though each row loses
+    what its own text has from smaller ids. Extra columns are ignored; an empty table gives no rows.
+    """
+    own = _texts(docs)
+    later = _later_windows(own, size, Scratch(docs.sparkSession, "substrings"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in tb.slices(batches):
-            words, hashes = word_hashes(texts)
-            gone = covered_words(words, hashes, size, _lists(rows.column("windows")))
-            ends = np.cumsum(words.counts)
-            removed, kept = [], []
-            for i, (n, end) in enumerate(zip(words.counts.tolist(), ends.tolist())):
-                keep = np.flatnonzero(~gone[end - n : end]) + end - n
-                text, shift = texts[i], int(words.offsets[i])
-                spans = zip((words.starts[keep] - shift).tolist(), (words.ends[keep] - shift).tolist())
-                kept.append(b" ".join([text[a:b] for a, b in spans]))
-                removed.append(n - len(keep))
-            columns = [
-                rows.column("doc_id"),
-                pa.array(words.counts.astype(np.int64)),
-                pa.array(removed, pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
-            ]
-            names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-            if texts_too:
-                columns.append(pa.array([x.decode() for x in kept], pa.string()))
-                names.append("kept_text")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return joined.mapInArrow(run, schema + (", kept_text string" if texts_too else ""))
+            counts, removed, kept = _kept_texts(rows, texts, size)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column("doc_id"),
+                    pa.array(counts.astype(np.int64)),
+                    pa.array(removed, pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
+                ],
+                ["doc_id", "n_words", "n_removed", "kept_sha256"],
+            )
+
+    return own.join(later, "doc_id", "left").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def strip_repeats(docs: DataFrame, size: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with all its rows and columns, and texts without repeated words.
+
+    A text that loses nothing is left as it is. ``n_chars``, where there is one, is set to the new
+    length in code points.
+    """
+    later = _later_windows(_texts(docs), size, Scratch(docs.sparkSession, "substrings"))
+    columns = docs.columns
+    packed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.struct(*[c for c in columns if c != "text"]).alias("row"),
+    )
+    joined = packed.join(later, "doc_id", "left").select("row", "text", "windows")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in tb.slices(batches):
+            _, removed, kept = _kept_texts(rows, texts, size)
+            before = rows.column("text").to_pylist()
+            after = [x.decode() if gone else old for old, gone, x in zip(before, removed, kept)]
+            yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(after, pa.string())], ["row", "text"])
+
+    schema = joined.drop("windows").schema
+    out = joined.mapInArrow(run, schema)
+    picked = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns]
+    out = out.select(*picked)
+    if "n_chars" in columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.length("text").cast(kind)).select(*columns)
+    return out
