@@ -30,14 +30,15 @@ def catalog_codes(catalog: DataFrame, order: str = "row_order") -> DataFrame:
     items = first_per_item(
         catalog.select("item_id", order, *LABEL_CODES, *PHYSICAL_ATTRIBUTES), order
     )
-    codes = label_ordinals(items, list(LABEL_CODES))
-    coded = items
-    for label, code in LABEL_CODES.items():
-        lookup = codes.where(F.col("field") == label).select(
-            F.col("label").alias(label), F.col("code").alias(code)
-        )
-        coded = coded.join(lookup, label, "left")
-    return coded.select(
+    # Missing labels stay out of the lookup: they would all meet under one key.
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("label")) for c in LABEL_CODES])
+    labels = items.select("item_id", F.inline(fields)).where(F.col("label").isNotNull())
+    found = (
+        labels.join(label_ordinals(items, list(LABEL_CODES)), ["field", "label"])
+        .groupBy("item_id")
+        .agg(*[F.max(F.when(F.col("field") == label, F.col("code"))).alias(code) for label, code in LABEL_CODES.items()])
+    )
+    return items.join(found, "item_id", "left").select(
         "item_id",
         *[F.coalesce(code, F.lit(-1)).alias(code) for code in LABEL_CODES.values()],
         *[nan_to_null(lenient_double(F.col(c))).alias(c) for c in PHYSICAL_ATTRIBUTES],

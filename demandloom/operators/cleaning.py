@@ -11,7 +11,7 @@ from demandloom.operators.quantiles import exact_median
 from demandloom.schemas import SERIES_KEYS
 
 INDEX_COLUMN = "Unnamed: 0"
-NO_MATCH_NOTE = "No positive price_base found for this exact (store_id, item_id)"
+NO_MATCH_NOTE = "no_positive_price"
 
 
 def drop_index_column(sales: DataFrame) -> DataFrame:

@@ -67,8 +67,11 @@ def cohort_metrics(
     members = marked.withColumn("cohort", F.explode(names))
 
     n, sum_y, sse = F.sum("n"), F.sum("sum_y"), F.sum("sum_sq_err")
-    # Squared deviations within items, plus those of the item means.
-    between = F.sum(F.col("n") * F.col("mean_y") * F.col("mean_y")) - sum_y * sum_y / n
+    # Squared deviations within items, plus those of the item means. The means are taken from
+    # the overall mean first, so that large values do not cancel.
+    centre = sums.agg(F.sum("sum_y") / F.sum("n")).scalar()
+    off = F.col("mean_y") - F.coalesce(centre, F.lit(0.0))
+    between = F.sum(F.col("n") * off * off) - F.sum(F.col("n") * off) * F.sum(F.col("n") * off) / n
     measured = members.groupBy("cohort").agg(
         n.alias("rows"),
         F.count_distinct("item_id").alias("unique_products"),

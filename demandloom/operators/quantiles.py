@@ -34,7 +34,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row ``(*by, prob, quantile)`` per group and prob.
 
-    NULL values are left out, and so are groups without any other value.
+    NULL, NaN and infinite values are left out, and so are groups without any other value.
 
     ``few_groups=True`` says that the number of groups is fixed by the program (for example
     metric names), not by the data. The wanted buckets are then a handful of rows, broadcast
@@ -43,7 +43,7 @@ def exact_quantiles(
     """
     by = list(by)
     probs = sorted(set(probs))
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.abs("_v") < float("inf"))
     rows = rows.withColumn("_v", F.col("_v") + F.lit(0.0))  # -0.0 and 0.0 are one value
     if few_groups:
         weighted = rows.withColumn("_w", F.lit(1).cast("long"))

@@ -49,7 +49,11 @@ def split_checks(features: DataFrame, spec: SplitSpec, expected_rows: int | None
     ordered = train.end < validation.start < validation.end < test.start
     disjoint = train.end < validation.start and validation.end < test.start
     label = split_label(spec)
+    first = {p.name: F.min(F.when(label == p.name, F.col("date"))) for p in spec.periods}
+    last = {p.name: F.max(F.when(label == p.name, F.col("date"))) for p in spec.periods}
+    apart = (last[train.name] < first[validation.name]) & (last[validation.name] < first[test.name])
     counted = features.agg(
+        F.coalesce(apart, F.lit(False)).alias("dates_apart_ok"),
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(label != OUTSIDE).alias("assigned_rows"),
         F.count_if(label == OUTSIDE).alias("outside_rows"),

@@ -25,11 +25,24 @@ def _typed(name: str, kind: T.DataType) -> Column:
     if isinstance(kind, T.DoubleType):
         return nan_to_null(text.cast(kind)).alias(name)
     if isinstance(kind, T.IntegerType):
-        # "3" and "3.0" are both written for whole numbers.
-        return text.cast("double").cast(kind).alias(name)
+        # "3" and "3.0" are both written for whole numbers; "3.7" is none.
+        number = text.cast("double")
+        wrong = F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), text))
+        return F.when(number == F.floor(number), number.cast(kind)).when(number.isNotNull(), wrong.cast(kind)).alias(name)
     return text.cast(kind).alias(name)
 
 
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    """Text columns of CSV files that all have the same header.
+
+    A file whose header differs, and a row with too few or too many fields, end the read with an
+    error. That needs whole rows parsed, so columns are not pruned here.
+    """
+    names = spark.read.option("header", True).csv(path).schema
+    strict = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+    return strict.option("columnPruning", False).schema(names).csv(path)
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -43,8 +56,7 @@ def read_table(
     """
     fields = [f for f in schema.fields if columns is None or f.name in columns]
     if format == "csv":
-        text = spark.read.option("header", True).csv(path)
-        return text.select(*[_typed(f.name, f.dataType) for f in fields])
+        return _csv(spark, path).select(*[_typed(f.name, f.dataType) for f in fields])
     return spark.read.format(format).load(path).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]
     )
@@ -67,8 +79,7 @@ def read_catalog(spark: SparkSession, path: str, format: str = "csv") -> DataFra
     """
     if format == "csv":
         place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
-        text = spark.read.option("header", True).csv(path)
-        return text.select(*[_typed(f.name, f.dataType) for f in CATALOG.fields], place.alias("row_order"))
+        return _csv(spark, path).select(*[_typed(f.name, f.dataType) for f in CATALOG.fields], place.alias("row_order"))
     return spark.read.format(format).load(path)
 
 

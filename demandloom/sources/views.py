@@ -14,12 +14,13 @@ from demandloom.schemas import SplitSpec
 
 ANOMALY_ITEM = "Brand#7"
 LAUNCH_ITEMS = ("Brand#7", "Brand#13")
-SALES_FIRST, SALES_LAST, LAUNCH = "1999-07-02", "2001-07-31", "2001-05-20"
+#: Launch items are sold under another id before this day.
+LAUNCH, BEFORE_LAUNCH = "2001-07-01", "/old"
 
 VIEW_SPLITS = SplitSpec.of(
-    train=("1999-07-02", "2001-02-02"),
-    validation=("2001-02-03", "2001-05-04"),
-    test=("2001-05-05", "2001-07-30"),
+    train=("1995-01-01", "2001-01-31"),
+    validation=("2001-02-01", "2001-05-31"),
+    test=("2001-06-01", "2001-12-31"),
 )
 
 
@@ -38,16 +39,19 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def sales_view(spark: SparkSession, folder: str, rule: str = "brand") -> DataFrame:
+def sales_view(
+    spark: SparkSession, folder: str, rule: str = "brand", days: tuple[str, str] | None = None
+) -> DataFrame:
+    """One sale per order line, all of them; ``days`` keeps a period (benchmarks only)."""
     day = F.col("l_shipdate").cast("date")
-    launched = day >= F.lit(LAUNCH).cast("date")
-    lines = _table(spark, folder, "lineitem").where(
-        day.between(F.lit(SALES_FIRST).cast("date"), F.lit(SALES_LAST).cast("date"))
-    )
+    lines = _table(spark, folder, "lineitem")
+    if days:
+        lines = lines.where(day.between(*(F.lit(d).cast("date") for d in days)))
+    early = F.col("item_id").isin(*LAUNCH_ITEMS) & (day < F.lit(LAUNCH).cast("date"))
     base = (
         lines.join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("item_id", _item(rule))
-        .where(~(F.col("item_id").isin(*LAUNCH_ITEMS) & ~launched))
+        .withColumn("item_id", F.when(early, F.concat("item_id", F.lit(BEFORE_LAUNCH))).otherwise(F.col("item_id")))
     )
     anomaly = F.col("item_id") == ANOMALY_ITEM
     returned = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") >= 6)
@@ -70,8 +74,8 @@ def sales_view(spark: SparkSession, folder: str, rule: str = "brand") -> DataFra
 def catalog_view(spark: SparkSession, folder: str, rule: str = "brand") -> DataFrame:
     size, key = F.col("p_size"), F.col("p_partkey")
     part = _table(spark, folder, "part").withColumn("l_partkey", key)
-    return part.where(F.col("p_brand") != ANOMALY_ITEM).select(
-        _item(rule).alias("item_id"),
+    return part.select(
+        _uncatalogued(_item(rule)).alias("item_id"),
         key.alias("row_order"),
         F.when(key % 11 != 0, F.col("p_type")).alias("dept_name"),
         F.concat(F.col("p_type"), F.lit("-"), (size % 5).cast("string")).alias("class_name"),
@@ -83,8 +87,13 @@ def catalog_view(spark: SparkSession, folder: str, rule: str = "brand") -> DataF
     )
 
 
+def _uncatalogued(item: Column) -> Column:
+    """The anomaly item has no rows of its own in the other tables: they go to its old id."""
+    return F.when(item == ANOMALY_ITEM, F.concat(item, F.lit(BEFORE_LAUNCH))).otherwise(item)
+
+
 def price_history_view(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "part").where(F.col("p_partkey") % 2 == 0).select(
+    return _table(spark, folder, "part").select(
         F.col("p_brand").alias("item_id"),
         F.lit("1999-07-01").cast("date").alias("date"),
         F.col("p_retailprice").alias("price"),
@@ -92,9 +101,7 @@ def price_history_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def discounts_history_view(spark: SparkSession, folder: str) -> DataFrame:
-    part = _table(spark, folder, "part")
-    return (
-        part.where((F.col("p_size") > 45) & (F.col("p_brand") != ANOMALY_ITEM))
-        .select(F.col("p_brand").alias("item_id"))
-        .distinct()
-    )
+    """Items with large parts; the others stand under ids that no sale has."""
+    item = _uncatalogued(F.col("p_brand"))
+    listed = F.when(F.col("p_size") > 45, item).otherwise(F.concat(item, F.lit("/plain")))
+    return _table(spark, folder, "part").select(listed.alias("item_id")).distinct()

@@ -17,13 +17,12 @@ sales AS (
               ELSE p_retailprice END AS price_base,
          l_extendedprice * (1 - l_discount) AS sum_total
   FROM (SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey % 4 AS INT) + 1 AS store_id,
-               p_brand AS item_id, l_quantity, l_extendedprice, l_discount, l_returnflag,
-               l_linenumber, l_orderkey, p_retailprice
-        FROM lineitem JOIN part ON l_partkey = p_partkey
-        WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1999-07-02' AND DATE '2001-07-31') b
-  WHERE NOT (item_id IN ('Brand#7', 'Brand#13') AND date < DATE '2001-05-20')),
+               CASE WHEN p_brand IN ('Brand#7', 'Brand#13') AND CAST(l_shipdate AS DATE) < DATE '2001-07-01'
+                    THEN p_brand || '/old' ELSE p_brand END AS item_id,
+               l_quantity, l_extendedprice, l_discount, l_returnflag, l_linenumber, l_orderkey, p_retailprice
+        FROM lineitem JOIN part ON l_partkey = p_partkey) b),
 catalog AS (
-  SELECT p_brand AS item_id, p_partkey AS row_order,
+  SELECT CASE WHEN p_brand = 'Brand#7' THEN 'Brand#7/old' ELSE p_brand END AS item_id, p_partkey AS row_order,
          CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_type END AS dept_name,
          concat(p_type, '-', CAST(p_size % 5 AS VARCHAR)) AS class_name,
          concat('S', CAST(p_size % 10 AS VARCHAR)) AS subclass_name,
@@ -31,12 +30,13 @@ catalog AS (
          CASE WHEN p_partkey % 10 = 0 THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS weight_volume,
          CAST(p_size * 2 AS VARCHAR) AS weight_netto,
          CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_size % 4 AS VARCHAR) END AS fatness
-  FROM part WHERE p_brand <> 'Brand#7'),
+  FROM part),
 price_history AS (
   SELECT p_brand AS item_id, DATE '1999-07-01' AS date, p_retailprice AS price
-  FROM part WHERE p_partkey % 2 = 0),
+  FROM part),
 discounts_history AS (
-  SELECT DISTINCT p_brand AS item_id FROM part WHERE p_size > 45 AND p_brand <> 'Brand#7'),
+  SELECT DISTINCT CASE WHEN p_brand = 'Brand#7' THEN 'Brand#7/old' ELSE p_brand END
+                  || CASE WHEN p_size > 45 THEN '' ELSE '/plain' END AS item_id FROM part),
 medians AS (
   SELECT store_id, item_id, median(price_base) AS med
   FROM sales WHERE price_base > 0 GROUP BY store_id, item_id),
@@ -44,7 +44,7 @@ clean AS (
   SELECT s.date, s.store_id, s.item_id, s.quantity,
          CASE WHEN s.price_base < 0 THEN m.med ELSE s.price_base END AS price_base, s.sum_total
   FROM sales s LEFT JOIN medians m ON s.store_id = m.store_id AND s.item_id = m.item_id),
-daily AS (
+daily AS MATERIALIZED (
   SELECT date, store_id, item_id, coalesce(sum(quantity), 0) AS daily_demand,
          avg(price_base) AS price
   FROM clean WHERE date IS NOT NULL AND store_id IS NOT NULL AND item_id IS NOT NULL
@@ -56,7 +56,7 @@ grid AS (
   SELECT store_id, item_id,
          CAST(unnest(generate_series(first_date, last_date, INTERVAL 1 DAY)) AS DATE) AS date
   FROM bounds),
-prepared AS (
+prepared AS MATERIALIZED (
   SELECT g.date, g.store_id, g.item_id,
          CASE WHEN coalesce(d.daily_demand, 0) < 0 THEN 0.0
               ELSE CAST(coalesce(d.daily_demand, 0) AS DOUBLE) END AS daily_demand,
@@ -66,14 +66,10 @@ prepared AS (
   FROM grid g LEFT JOIN daily d
     ON g.date = d.date AND g.store_id = d.store_id AND g.item_id = d.item_id),
 lagged AS (
-  SELECT p.*, n.daily_demand AS target, a.daily_demand AS lag_1, b.daily_demand AS lag_7,
-         c.daily_demand AS lag_14, e.daily_demand AS lag_28, p.price - a.price AS price_change
-  FROM prepared p
-  LEFT JOIN prepared n ON n.store_id = p.store_id AND n.item_id = p.item_id AND n.date = p.date + 1
-  LEFT JOIN prepared a ON a.store_id = p.store_id AND a.item_id = p.item_id AND a.date = p.date - 1
-  LEFT JOIN prepared b ON b.store_id = p.store_id AND b.item_id = p.item_id AND b.date = p.date - 7
-  LEFT JOIN prepared c ON c.store_id = p.store_id AND c.item_id = p.item_id AND c.date = p.date - 14
-  LEFT JOIN prepared e ON e.store_id = p.store_id AND e.item_id = p.item_id AND e.date = p.date - 28),
+  SELECT *, lead(daily_demand) OVER w AS target, lag(daily_demand) OVER w AS lag_1,
+         lag(daily_demand, 7) OVER w AS lag_7, lag(daily_demand, 14) OVER w AS lag_14,
+         lag(daily_demand, 28) OVER w AS lag_28, price - lag(price) OVER w AS price_change
+  FROM prepared WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date)),
 rolled AS (
   SELECT date, store_id, item_id, daily_demand,
          CASE WHEN count(*) OVER w7 = 7 THEN avg(daily_demand) OVER w7 END AS rolling_mean_7,
@@ -119,9 +115,9 @@ features AS (
 all_scored AS (
   SELECT *, predicted - target AS error, abs(predicted - target) AS abs_error,
          (predicted - target) * (predicted - target) AS squared_error,
-         CASE WHEN date BETWEEN DATE '1999-07-02' AND DATE '2001-02-02' THEN 'train'
-              WHEN date BETWEEN DATE '2001-02-03' AND DATE '2001-05-04' THEN 'validation'
-              WHEN date BETWEEN DATE '2001-05-05' AND DATE '2001-07-30' THEN 'test'
+         CASE WHEN date BETWEEN DATE '1995-01-01' AND DATE '2001-01-31' THEN 'train'
+              WHEN date BETWEEN DATE '2001-02-01' AND DATE '2001-05-31' THEN 'validation'
+              WHEN date BETWEEN DATE '2001-06-01' AND DATE '2001-12-31' THEN 'test'
               ELSE 'outside' END AS split,
          CASE WHEN target = 0 THEN 'demand = 0'
               WHEN target >= 1 AND target <= 5 THEN 'demand 1-5'
@@ -197,7 +193,7 @@ investigated AS (
          || CASE WHEN flags <> '' THEN ' | Potential data anomaly signals: ' || flags ELSE '' END AS evidence
   FROM ruled),
 training_items AS (
-  SELECT DISTINCT item_id FROM prepared WHERE date BETWEEN DATE '1999-07-02' AND DATE '2001-02-02'),
+  SELECT DISTINCT item_id FROM prepared WHERE date BETWEEN DATE '1995-01-01' AND DATE '2001-01-31'),
 reaggregated AS (
   SELECT date, store_id, item_id, count(quantity) AS raw_tx_count, count(*) AS raw_rows,
          sum(quantity) AS raw_quantity_sum, avg(price_base) AS raw_price_mean, sum(sum_total) AS raw_sum_total
@@ -428,9 +424,10 @@ def statements() -> dict[str, str]:
     )
     result["duplicate_rows"] = s(
         """SELECT count(*) AS total_records,
-                  count(*) - count(DISTINCT (date, store_id, item_id, quantity)) AS duplicate_records,
-                  (count(*) - count(DISTINCT (date, store_id, item_id, quantity))) * 100.0 / count(*) AS duplicate_pct
-           FROM sales""",
+                  count(*) - count(DISTINCT (date, store_id, item_id, quantity, price_base, sum_total)) AS duplicate_records,
+                  (count(*) - count(DISTINCT (date, store_id, item_id, quantity, price_base, sum_total))) * 100.0
+                    / count(*) AS duplicate_pct
+           FROM (SELECT * FROM sales UNION ALL SELECT * FROM sales WHERE store_id = 2 AND quantity > 45) twice""",
         "duplicate_pct",
     )
     result["price_correction"] = s("SELECT * FROM clean", "quantity price_base sum_total")
@@ -556,7 +553,9 @@ def statements() -> dict[str, str]:
     result["split_checks"] = s(
         """SELECT count(*) AS total_rows, count(*) FILTER (WHERE split <> 'outside') AS assigned_rows,
                   count(*) FILTER (WHERE split = 'outside') AS outside_rows, TRUE AS accounting_ok,
-                  TRUE AS ordering_ok, TRUE AS no_overlap_ok, TRUE AS expected_total_ok
+                  TRUE AS ordering_ok, TRUE AS no_overlap_ok, TRUE AS expected_total_ok,
+                  max(date) FILTER (WHERE split = 'train') < min(date) FILTER (WHERE split = 'validation')
+                    AND max(date) FILTER (WHERE split = 'validation') < min(date) FILTER (WHERE split = 'test') AS dates_apart_ok
            FROM all_scored"""
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -37,13 +38,18 @@ class Tables:
     """The retail tables and stages of one test folder, as lazy plans."""
 
     def __init__(
-        self, spark: SparkSession, folder: str, rule: str = "brand", partitions: int | None = None
+        self,
+        spark: SparkSession,
+        folder: str,
+        rule: str = "brand",
+        partitions: int | None = None,
+        days: tuple[str, str] | None = None,
     ):
-        self.spark, self.folder, self.rule, self.partitions = spark, folder, rule, partitions
+        self.spark, self.folder, self.rule, self.partitions, self.days = spark, folder, rule, partitions, days
 
     @cached_property
     def sales(self) -> DataFrame:
-        return views.sales_view(self.spark, self.folder, self.rule)
+        return views.sales_view(self.spark, self.folder, self.rule, self.days)
 
     @cached_property
     def catalog(self) -> DataFrame:
@@ -158,7 +164,9 @@ def null_counts(t: Tables) -> DataFrame:
 
 @query()
 def duplicate_rows(t: Tables) -> DataFrame:
-    return cleaning.sales_duplicates(t.sales.select("date", *SERIES_KEYS, "quantity"))
+    """Whole rows; the large sales of one store are there twice."""
+    again = t.sales.where((F.col("store_id") == 2) & (F.col("quantity") > 45))
+    return cleaning.sales_duplicates(t.sales.unionByName(again))
 
 
 @query()
@@ -251,8 +259,8 @@ def preparation_by_store(t: Tables) -> DataFrame:
 @query()
 def stage_roundtrip(t: Tables) -> DataFrame:
     """Write the prepared stage as Parquet (per store) and CSV, read both back, compare."""
-    folder = f"{shared_folder(t.spark).rstrip('/')}/roundtrip-{t.spark.sparkContext.applicationId}"
-    sinks.write_stage(t.prepared, f"{folder}/parquet", ("item_id", "date"), ("store_id",), 2)
+    folder = f"{shared_folder(t.spark).rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    sinks.write_stage(t.prepared, f"{folder}/parquet", ("item_id", "date"), ("store_id",))
     stored = readers.read_demand(t.spark, f"{folder}/parquet")
     sinks.export_csv(stored, f"{folder}/csv")
     exported = readers.read_demand(t.spark, f"{folder}/csv", "csv")
