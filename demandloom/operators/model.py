@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.operators.features import model_input, require_rows
@@ -19,8 +19,9 @@ from demandloom.session import pin, shared_folder
 # lag of N days does, so the rolling columns share the flags of the lags.
 NULLABLE = ("price", "lag_1", "lag_7", "lag_14", "lag_28", "price_change", "weight_volume", "weight_netto", "fatness")
 SENTINEL = -1.0
-ITEM_EFFECT = "item_effect"
-NOMINAL_COLUMNS = tuple(c for c in CATEGORICAL_COLUMNS if c != "item_code")
+# Training rows are coded from the days of the other folds, so no row sees its own target.
+EFFECT_FOLDS = 5
+EFFECTS = {c: f"{c}_effect" for c in CATEGORICAL_COLUMNS}
 
 
 @dataclass(frozen=True)
@@ -41,80 +42,100 @@ class BoostingParams:
 
 @dataclass(frozen=True)
 class DemandModel:
-    """A fitted model with the item effects it was trained on."""
+    """A fitted model with the code effects it was trained on and its error by round."""
 
     stages: PipelineModel
-    item_effects: DataFrame
+    effects: DataFrame
     best_round: int
-    validation_rmse: list[float]
+    history: DataFrame
 
     def score(self, features: DataFrame) -> DataFrame:
         """Add ``predicted`` to feature rows; vectors do not appear in the result."""
         keep = [F.col(f"_row.{c}").alias(c) for c in features.columns]
-        prepared = tree_input(features.withColumn("_row", F.struct(*features.columns)), self.item_effects)
+        prepared = tree_input(features.withColumn("_row", F.struct(*features.columns)), self.effects)
         scored = self.stages.transform(prepared)
         return scored.select(*keep, F.col("prediction").alias("predicted"))
 
     def save(self, path: str) -> None:
         self.stages.write().overwrite().save(f"{path}/stages")
-        self.item_effects.write.mode("overwrite").parquet(f"{path}/item_effects")
+        self.effects.write.mode("overwrite").parquet(f"{path}/effects")
+        self.history.write.mode("overwrite").parquet(f"{path}/history")
 
     @staticmethod
     def load(spark, path: str) -> "DemandModel":
         stages = PipelineModel.load(f"{path}/stages")
         rounds = stages.stages[-1].getNumTrees
-        return DemandModel(stages, spark.read.parquet(f"{path}/item_effects"), rounds, [])
+        return DemandModel(
+            stages, spark.read.parquet(f"{path}/effects"), rounds, spark.read.parquet(f"{path}/history")
+        )
 
 
-def item_effects(train: DataFrame, smoothing: float) -> DataFrame:
-    """Smoothed mean target per item code, over training rows only.
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("date"), F.lit(EFFECT_FOLDS)).cast("int")
 
-    Stands in for a categorical with more values than bins. Row -1 carries the overall mean
-    for items that training does not know.
-    """
-    coded = train.select(F.coalesce("item_code", F.lit(-1)).alias("item_code"), "target")
-    sums = coded.groupBy("item_code").agg(F.sum("target").alias("_sum"), F.count(F.lit(1)).alias("_n"))
-    overall = sums.agg(
-        F.lit(-1).alias("item_code"), (F.sum("_sum") / F.sum("_n")).alias(ITEM_EFFECT)
-    ).where(F.col(ITEM_EFFECT).isNotNull())
-    mean = overall.select(ITEM_EFFECT).scalar()
-    known = sums.where(F.col("item_code") >= 0).select(
-        "item_code", ((F.col("_sum") + mean * smoothing) / (F.col("_n") + smoothing)).alias(ITEM_EFFECT)
-    )
-    return known.unionByName(overall)
 
+def code_effects(train: DataFrame, smoothing: float) -> DataFrame:
+    """``field, code, fold, effect``: smoothed mean target of each code of each categorical.
 
-def tree_input(features: DataFrame, effects: DataFrame) -> DataFrame:
-    """Numbers without NULLs for the assembler: sentinels, missing flags, item effects."""
-    extra = [c for c in ("_row", "target", "_validation") if c in features.columns]
-    shaped = model_input(features, extra)
-    mean = effects.where(F.col("item_code") == -1).select(ITEM_EFFECT).scalar()
-    known = effects.where(F.col("item_code") >= 0).select(
-        (F.col("item_code") + 1).alias("item_code"), ITEM_EFFECT
+    They stand in for the codes at any number of values. Fold NULL is over all training rows, for
+    scoring; fold k leaves the days of fold k out, for the training rows of those days. Code NULL carries the
+    mean, for codes that training does not know.
+    """
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("int").alias("code")) for c in CATEGORICAL_COLUMNS])
+    known = train.select("target", _fold().alias("fold"), F.inline(fields)).where("code IS NOT NULL AND code >= 0")
+    sums = pin(
+        known.groupBy("field", "code", "fold").agg(F.sum("target").alias("sum"), F.count(F.lit(1)).alias("n")),
+        "code-sums",
+    )
+    overall = train.agg(F.avg("target").alias("mean"))
+    mean = overall.scalar()
+    every = sums.groupBy("field", "code").agg(F.sum("sum").alias("sum"), F.sum("n").alias("n"))
+    apart = (
+        every.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(EFFECT_FOLDS - 1))))
+        .join(sums.select("field", "code", "fold", F.col("sum").alias("own_sum"), F.col("n").alias("own_n")), ["field", "code", "fold"], "left")
+        .select(
+            "field", "code", "fold",
+            (F.col("sum") - F.coalesce("own_sum", F.lit(0.0))).alias("sum"),
+            (F.col("n") - F.coalesce("own_n", F.lit(0))).alias("n"),
+        )
     )
-    return (
-        shaped.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in NULLABLE})
-        .withColumns({c: F.coalesce(c, F.lit(SENTINEL)) for c in NUMERIC_COLUMNS})
-        .join(known, "item_code", "left")
-        .withColumn(ITEM_EFFECT, F.coalesce(F.col(ITEM_EFFECT), mean))
+    whole = every.select("field", "code", F.lit(None).cast("int").alias("fold"), "sum", "n")
+    effect = ((F.col("sum") + mean * smoothing) / (F.col("n") + smoothing)).alias("effect")
+    unknown = overall.select(
+        F.lit(None).cast("string").alias("field"), F.lit(None).cast("int").alias("code"), F.lit(None).cast("int").alias("fold"),
+        F.col("mean").alias("effect"),
     )
+    return whole.unionByName(apart).select("field", "code", "fold", effect).unionByName(unknown)
 
 
-def _encoder(params: BoostingParams) -> Pipeline:
-    """Nominal columns with fewer values than bins become categorical, wider ones ordinal."""
-    numeric = [*NUMERIC_COLUMNS, *[f"{c}_missing" for c in NULLABLE], ITEM_EFFECT]
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(NOMINAL_COLUMNS), outputCol="_nominal"),
-            VectorIndexer(
-                inputCol="_nominal",
-                outputCol="_indexed",
-                maxCategories=params.bins - 1,
-                handleInvalid="keep",
-            ),
-            VectorAssembler(inputCols=["_indexed", *numeric], outputCol="features"),
-        ]
+def tree_input(features: DataFrame, effects: DataFrame, training: bool = False) -> DataFrame:
+    """Numbers without NULLs for the assembler: sentinels, missing flags, code effects."""
+    extra = [c for c in ("_row", "target", "date") if c in features.columns]
+    shaped = model_input(features, extra)
+    mean = effects.where("field IS NULL").select("effect").scalar()
+    shaped = shaped.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in NULLABLE}).withColumns(
+        {c: F.coalesce(c, F.lit(SENTINEL)) for c in NUMERIC_COLUMNS}
     )
+    if training:
+        shaped = shaped.withColumn("_fold", _fold())
+    # Rows without a code get keys of their own that match nothing, instead of meeting under one.
+    apart = -1 - F.pmod(F.xxhash64("date", "store_id"), F.lit(4096)).cast("int")
+    for column, name in EFFECTS.items():
+        part = effects.where((F.col("field") == column) & (F.col("fold").isNotNull() if training else F.col("fold").isNull()))
+        lookup = part.select((F.col("code") + 1).alias("_code"), F.col("fold").alias("_fold"), F.col("effect").alias(name))
+        keys = ["_code", "_fold"] if training else ["_code"]
+        shaped = (
+            shaped.withColumn("_code", F.when(F.col(column) > 0, F.col(column)).otherwise(apart))
+            .join(lookup if training else lookup.drop("_fold"), keys, "left")
+            .withColumn(name, F.coalesce(name, mean))
+        )
+    return shaped.drop("_code", "_fold")
+
+
+def _assembler() -> VectorAssembler:
+    """Every code goes in twice, as its effect and as an ordinal number, however many values it has."""
+    columns = [*NUMERIC_COLUMNS, *[f"{c}_missing" for c in NULLABLE], *EFFECTS.values(), *CATEGORICAL_COLUMNS]
+    return VectorAssembler(inputCols=columns, outputCol="features")
 
 
 def _booster(params: BoostingParams, rounds: int) -> GBTRegressor:
@@ -151,26 +172,39 @@ def fit_demand_model(
 ) -> DemandModel:
     """Fit on the train period, choose the number of rounds on the validation period.
 
-    The encoded rows are pinned once; every boosting round reads that copy. The kept model is
-    a refit with the chosen number of rounds and the same seed, which grows the same trees.
+    The encoded rows are pinned once; every boosting round reads that copy. The kept model is the
+    prefix of the trees up to the chosen round: there is one fit.
     """
     params = params or BoostingParams()
-    shared_folder(features.sparkSession)  # node ids are checkpointed there
+    spark = features.sparkSession
+    shared_folder(spark)  # node ids are checkpointed there
     train = require_rows(select_period(features, spec.train), "train period")
     validation = require_rows(select_period(features, spec.validation), "validation period")
-    effects = pin(item_effects(train, params.smoothing), "item-effects")
-    encoder = _encoder(params).fit(tree_input(train, effects))
+    effects = pin(code_effects(train, params.smoothing), "code-effects")
+    assembler = _assembler()
 
-    def encoded(part: DataFrame, label: str) -> DataFrame:
-        return pin(encoder.transform(tree_input(part, effects)).select("features", "target"), label)
+    def encoded(part: DataFrame, label: str, training: bool) -> DataFrame:
+        return pin(assembler.transform(tree_input(part, effects, training)).select("features", "target"), label)
 
-    train_rows, validation_rows = encoded(train, "train-rows"), encoded(validation, "validation-rows")
+    train_rows, validation_rows = encoded(train, "train-rows", True), encoded(validation, "validation-rows", False)
     trees = _booster(params, params.rounds).fit(train_rows)
     errors = [mse**0.5 for mse in trees.evaluateEachIteration(validation_rows, "squared")]
+    own = [mse**0.5 for mse in trees.evaluateEachIteration(train_rows, "squared")]
     keep = best_round(errors, params.patience)
-    if keep < params.rounds:
-        trees = _booster(params, keep).fit(train_rows)
-    return DemandModel(PipelineModel([*encoder.stages, trees]), effects, keep, errors)
-
-
-__all__ = ["BoostingParams", "DemandModel", "GBTRegressionModel", "best_round", "fit_demand_model", "item_effects", "tree_input"]
+    history = spark.createDataFrame(
+        [(i + 1, a, b, i + 1 == keep) for i, (a, b) in enumerate(zip(own, errors))],
+        "round int, train_rmse double, validation_rmse double, kept boolean",
+    )
+    return DemandModel(PipelineModel([assembler, first_trees(trees, keep)]), effects, keep, history)
+
+
+def first_trees(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of the first ``rounds`` trees."""
+    spark = SparkSession.active()
+    java, gateway = model._java_obj, spark.sparkContext._gateway
+    trees = java.trees()
+    kept = gateway.new_array(spark._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        kept[i], weights[i] = trees[i], float(java.treeWeights()[i])
+    return GBTRegressionModel(spark._jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), kept, weights))

@@ -430,6 +430,24 @@ def statements() -> dict[str, str]:
            FROM (SELECT * FROM sales UNION ALL SELECT * FROM sales WHERE store_id = 2 AND quantity > 45) twice""",
         "duplicate_pct",
     )
+    result["unmatched_prices"] = s(
+        """SELECT date, store_id, 'Brand#1/bad' AS item_id, price_base AS old_price, 'no_positive_price' AS note
+           FROM sales WHERE item_id = 'Brand#1' AND price_base < 0""",
+        "old_price",
+    )
+    result["csv_sales_item"] = s("SELECT * FROM sales WHERE item_id = 'Brand#7'", "quantity price_base sum_total")
+    kinds = {"date": "date", "store_id": "int", "item_id": "string", "quantity": "double", "price_base": "double", "sum_total": "double"}
+    result["sales_column_types"] = s(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, '{k}' AS data_type, count({c}) AS values_found FROM sales" for c, k in kinds.items()
+        )
+    )
+    result["gbt_train_score"] = s(
+        """SELECT split, count(*) AS rows, sum(target) AS total_target, 0::BIGINT AS null_scores,
+                  TRUE AS beats_train_mean, TRUE AS rounds_ok
+           FROM all_scored GROUP BY split""",
+        "total_target:2",
+    )
     result["price_correction"] = s("SELECT * FROM clean", "quantity price_base sum_total")
     result["sales_without_returns"] = s(
         "SELECT * FROM sales WHERE quantity >= 0", "quantity price_base sum_total"

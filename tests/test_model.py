@@ -59,3 +59,31 @@ def test_saved_model_scores_the_same(spark, table, fitted, tmp_path):
 def test_empty_training_period_fails(table):
     with pytest.raises(RuntimeError, match="no rows found for train period"):
         model.fit_demand_model(table.where("false"), SPEC)
+
+
+def test_no_row_is_coded_with_its_own_target(spark, table):
+    """Targets of a single-row item stay out of its own training code."""
+    rows = table.limit(400).withColumn("item_code", F.monotonically_increasing_id().cast("int"))
+    rows = pin(rows.withColumn("target", F.rand(3) * 100), "random-targets")
+    effects = pin(model.code_effects(rows, 1.0), "effects")
+    own = model.tree_input(rows, effects, training=True)
+    again = model.tree_input(rows, effects)
+    assert own.agg(F.stddev("item_code_effect")).first()[0] < 1e-6
+    assert again.agg(F.corr("target", "item_code_effect")).first()[0] > 0.99
+
+
+def test_wide_labels_are_coded_like_narrow_ones(spark, table):
+    rows = pin(table.limit(3000).withColumn("dept_code", (F.monotonically_increasing_id() % 300).cast("int")), "wide")
+    effects = pin(model.code_effects(rows, 1.0), "effects")
+    assert effects.where("field = 'dept_code' AND fold IS NULL").count() == 300
+    shaped = model.tree_input(rows, effects)
+    assert shaped.count() == 3000 and shaped.where("dept_code_effect IS NULL").count() == 0
+
+
+def test_history_is_saved_and_the_prefix_scores_alone(spark, table, fitted, tmp_path):
+    fitted.save(str(tmp_path / "model"))
+    loaded = model.DemandModel.load(spark, str(tmp_path / "model"))
+    assert loaded.history.count() == 4 and loaded.history.where("kept").first()["round"] == fitted.best_round
+    trees = fitted.stages.stages[-1]
+    one = model.first_trees(trees, 1)
+    assert one.getNumTrees == 1 and trees.getNumTrees == fitted.best_round
