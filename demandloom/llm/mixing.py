@@ -179,31 +179,28 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The mix itself: documents as often as they are taken, in the order of finish times.
 
     Returns the columns of ``docs``. Documents that are not taken are left out. Rows that repeat
-    a ``doc_id`` keep their own texts: they are matched by ``doc_id``, size and place among equals.
+    a ``doc_id`` and a size share what is taken of them, in a fixed order. Texts move twice: to meet what
+    is taken of them, and to their place in the mix.
     """
     columns = docs.columns
-    pair = ["__id", "__size"]
-    place = Window.partitionBy(*pair).orderBy("__order")
-    whole = docs.select(
-        F.struct(*columns).alias("__row"), F.col("doc_id").alias("__id"), F.col("source").alias("__source"),
-        word_count().alias("__size"),
-    )
-    taken = mix_sources(docs, **parameters).filter(F.col("repeats") > 0)
-    # Equal ids with equal sizes are equally likely to be taken: number them on both sides.
-    left = whole.withColumn("__order", F.xxhash64(F.col("__row").cast("string"))).withColumn("__nth", F.row_number().over(place))
-    right = taken.select(
-        F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "repeats", "finish", F.col("finish").alias("__order")
-    ).withColumn("__nth", F.row_number().over(place)).drop("__order")
-    joined = left.alias("l").join(
-        right.alias("r"),
-        F.col("l.__id").eqNullSafe(F.col("r.__id"))
-        & (F.col("l.__size") == F.col("r.__size"))
-        & (F.col("l.__nth") == F.col("r.__nth")),
-    )
+    key = ["__id", "__size"]
+    # a text for NULL ids too, so that the window below finds the rows where the join put them
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    whole = docs.select(name.alias("__id"), word_count().alias("__size"), F.struct(*columns).alias("__row"))
+    taken = (
+        mix_sources(docs, **parameters)
+        .filter(F.col("repeats") > 0)
+        .groupBy(name.alias("__id"), F.col("size").alias("__size"))
+        .agg(F.array_sort(F.collect_list(F.struct("finish", "repeats"))).alias("__taken"))
+    )
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("__row")))
     return (
-        joined.withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
-        .select("__row", "finish", "__pass")
-        .repartitionByRange("__pass", "finish")
-        .sortWithinPartitions("__pass", "finish")
+        whole.join(taken, key)
+        .withColumn("__own", F.get("__taken", place - 1))
+        .filter("__own IS NOT NULL")
+        .withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("__own.repeats"))))
+        .select("__row", "__pass", F.col("__own.finish").alias("__finish"))
+        .repartitionByRange("__pass", "__finish")
+        .sortWithinPartitions("__pass", "__finish")
         .select("__row.*")
     )
