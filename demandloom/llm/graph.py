@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from demandloom.llm.scratch import Scratch
 
+#: Links that one task works on: a small table is not spread over more tasks than it needs.
+TASK_ROWS = 20_000
+
 
 def components(links: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
     """``(node, root)`` of every node in ``links`` ``(a, b)``; the root is the smallest node reachable.
@@ -22,6 +25,7 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
     # the sum of a hash of all edges tells whether a round has changed them
     mark, step = _mark(edges), 0
     while True:
+        edges = few_tasks(edges, mark[0])
         both = edges.union(edges.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
@@ -40,6 +44,11 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
 
+def few_tasks(table: DataFrame, rows: int) -> DataFrame:
+    """A written table of known size in as few partitions as it needs."""
+    return table.coalesce(rows // TASK_ROWS + 1)
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(
         edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()

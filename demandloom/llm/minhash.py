@@ -8,14 +8,14 @@ share at least ``required_overlap`` values of their sketches, so it is enough to
 its rarest values: all but ``required - 1`` of them. Values of passages that many documents share
 are then listed only for documents that consist of little else.
 
-*Stars before pairs.* What is wanted are groups, so a list does not have to be paired off: in a few
-rounds each list links its members to one of them, and the links found join groups. After that, only
-members of a list that are still in different groups are paired, those outside its largest group with
-all others. A list of thousands of near copies so costs about as many pairs as it has members,
-and still no two members that could be linked stay untried.
+*Stars before pairs.* What is wanted are groups, so a list does not have to be paired off: first each list
+links its members to the most central of them, the one that shares most of its sketch, and the links found
+join groups. After that, members outside the largest group of their lists are compared with all others, block
+by block, on the full sets: a block pair is one product of two small matrices, and only links that join groups
+leave the task. So no two members that could be linked stay untried, and no table of pairs is made.
 
 *Filter and proof.* The k smallest values of the union of two sketches are a sketch of the union of the sets:
-the share of them in both estimates the similarity, and pairs below ``required_overlap`` are let go. The
+the share of them in both estimates the similarity, and star pairs below ``required_overlap`` are let go. The
 rest is decided on the full sets, streamed in blocks of partners past one set.
 """
 
@@ -31,13 +31,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.llm import textbytes as tb
-from demandloom.llm.graph import components
+from demandloom.llm.graph import components, few_tasks
 from demandloom.llm.scratch import Scratch
 
 #: Partners that stream past one full set in one block.
 BLOCK_PARTNERS = 256
-#: Rounds of stars before the pairs that are left.
-STAR_ROUNDS = 3
+#: Rounds of stars before the comparison in blocks.
+STAR_ROUNDS = 1
 
 
 @lru_cache
@@ -106,7 +106,10 @@ def _required(values: Column, k: int, percent: int) -> Column:
 
 
 def inverted_lists(classes: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
-    """``value, node, n_shingles``: each class under its rarest sketch values that others have too."""
+    """``value, node, n_shingles, shared``: each class under its rarest sketch values that others have too.
+
+    ``shared`` is how many values of its sketch others have.
+    """
     entries = classes.select("node", "n_shingles", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
     # written, so that the values of common passages can be split in the join
     shared = scratch.keep("shared", entries.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1"))
@@ -119,9 +122,12 @@ def inverted_lists(classes: DataFrame, k: int, percent: int, scratch: Scratch) -
         .filter("room > 0")
     )
     listed = kept.select(
-        "node", "n_shingles", F.explode(F.slice("common", F.lit(1), F.col("room").cast("int"))).alias("entry")
+        "node",
+        "n_shingles",
+        F.size("common").alias("shared"),
+        F.explode(F.slice("common", F.lit(1), F.col("room").cast("int"))).alias("entry"),
     )
-    return listed.select(F.col("entry.value").alias("value"), "node", "n_shingles")
+    return listed.select(F.col("entry.value").alias("value"), "node", "n_shingles", "shared")
 
 
 def _sized(a: str, b: str, percent: int) -> Column:
@@ -218,33 +224,34 @@ def link_classes(docs: DataFrame, classes: DataFrame, scratch: Scratch, k: int,
     members = classes.select("doc_id", "node").join(involved, "node")
     sets = scratch.keep("sets", full_sets(docs, members, size))
     sketches = scratch.keep("sketches", classes.select("node", "sketch").join(involved, "node"))
-    tried, roots = None, None
+    roots = None
     for step in range(STAR_ROUNDS + 1):
         placed = lists.withColumn("root", F.col("node"))
         if roots is not None:
-            placed = (
-                lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_lists = scratch.keep(
+            f"open-{step}",
+            placed.groupBy("value")
+            .agg(
+                F.min("root").alias("least"),
+                F.max("root").alias("most"),
+                F.max_by(F.struct("node", "root", "n_shingles"), F.struct("shared", "node")).alias("pivot"),
             )
-        open_lists = scratch.keep(f"open-{step}", placed.groupBy("value").agg(
-            F.min("root").alias("least"),
-            F.max("root").alias("most"),
-            F.min_by(F.struct("node", "root", "n_shingles"), F.xxhash64("node", F.lit(step))).alias("pivot"),
-        ).filter("least <> most"))
+            .filter("least <> most"),
+        )
+        if open_lists.isEmpty():
+            break
         if step < STAR_ROUNDS:
             pairs = placed.join(open_lists, "value").filter(
                 (F.col("root") != F.col("pivot.root")) & _sized("n_shingles", "pivot.n_shingles", percent)
             )
-            pairs = pairs.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))
+            pairs = scratch.keep(f"pairs-{step}", _ordered(pairs.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"))))
+            likely = scratch.keep(f"likely-{step}", plausible(few_tasks(pairs, pairs.count()), sketches, k, percent))
+            found = verified(few_tasks(likely, likely.count()), sets, percent)
         else:
-            pairs = _left_over(placed, open_lists, percent)
-        pairs = _ordered(pairs)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        fresh = scratch.keep(f"pairs-{step}", pairs)
-        if fresh.isEmpty():
-            continue
-        found = scratch.keep(f"links-{step}", verified(plausible(fresh, sketches, k, percent), sets, percent))
-        tried = fresh if tried is None else tried.union(fresh)
+            members = placed.join(open_lists, "value").select(F.col("pivot.node").alias("hub"), "node", "root").distinct()
+            found = left_over(scratch.keep("members", members), sets, percent)
+        found = scratch.keep(f"links-{step}", found)
         if not found.isEmpty():
             # groups so far are stars already: only they and the new links are joined
             links = found if roots is None else found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -254,23 +261,81 @@ def link_classes(docs: DataFrame, classes: DataFrame, scratch: Scratch, k: int,
     return roots
 
 
-def _left_over(placed: DataFrame, open_lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list whose members are in different groups.
+def left_over(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members ``(hub, node, root)`` of one hub's lists that are in different groups.
 
-    Members outside the list's largest group are paired with all others of the list.
+    Members outside the hub's largest group meet all members, in pairs of blocks. A task gives one
+    link at most for a member and each group that it joins.
     """
-    placed = placed.join(open_lists.select("value"), "value")
-    sizes = placed.groupBy("value", "root").agg(F.count("*").alias("members"))
-    largest = sizes.groupBy("value").agg(F.max_by("root", F.struct("members", "root")).alias("main"))
-    outside = placed.join(largest, "value").filter("root <> main")
-    one, two = outside.alias("x"), placed.alias("y")
-    pairs = one.join(
-        two,
-        (F.col("x.value") == F.col("y.value"))
-        & (F.col("x.root") != F.col("y.root"))
-        & _sized("x.n_shingles", "y.n_shingles", percent),
+    groups = members.groupBy("hub", "root").agg(F.count("*").alias("size"))
+    blocks = groups.groupBy("hub").agg(
+        F.max_by("root", F.struct("size", "root")).alias("main"),
+        F.ceil(F.sum("size") / BLOCK_PARTNERS).cast("int").alias("blocks"),
+        F.ceil((F.sum("size") - F.max("size")) / BLOCK_PARTNERS).cast("int").alias("outer_blocks"),
+    )
+    placed = members.join(blocks.filter("outer_blocks > 0"), "hub")
+    own = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    outer = placed.filter("root <> main").select(
+        "hub", own("outer_blocks").alias("one"), every("blocks").alias("two"), F.lit(0).alias("side"), "node", "root"
+    )
+    inner = placed.select(
+        "hub", every("outer_blocks").alias("one"), own("blocks").alias("two"), F.lit(1).alias("side"), "node", "root"
     )
-    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    key = ["hub", "one", "two"]
+    rows = outer.unionByName(inner).join(sets, "node").repartition(*key).sortWithinPartitions(*key, "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, block = None, ([], [])
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*key, "side", "node", "root", "hashes")]
+            for hub, one, two, side, node, root, data in zip(*columns):
+                if (hub, one, two) != current:
+                    yield joining_links(*block, percent)
+                    current, block = (hub, one, two), ([], [])
+                block[side].append((node, root, np.frombuffer(data, dtype=np.uint64)))
+        yield joining_links(*block, percent)
+
+    return _ordered(rows.mapInArrow(run, "a binary, b binary"))
+
+
+def joining_links(left: list, right: list, percent: int) -> pa.RecordBatch:
+    """Links ``a, b`` between two blocks of ``(node, root, set)``: for each left row and right root one at most."""
+    found: list[tuple[bytes, bytes]] = []
+    if left and right:
+        common = common_members([x[2] for x in left], [x[2] for x in right])
+        a, b = np.array([len(x[2]) for x in left]), np.array([len(x[2]) for x in right])
+        near = 100 * common >= percent * (a[:, None] + b[None, :] - common)
+        for i, j in zip(*np.nonzero(near)):
+            if left[i][1] != right[j][1]:
+                found.append((i, j))
+        found = list({(i, right[j][1]): (left[i][0], right[j][0]) for i, j in found}.values())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.binary())], ["a", "b"]
+    )
+
+
+def common_members(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets, ``width`` values at a time."""
+    flat_left, flat_right = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(flat_left, flat_right)
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    place = []
+    for sets, flat in ((left, flat_left), (right, flat_right)):
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(shared, flat), max(len(shared) - 1, 0))
+        hit = shared[at] == flat if len(shared) else np.zeros(len(flat), bool)
+        order = np.argsort(at[hit], kind="stable")
+        place.append((owner[hit][order], at[hit][order]))
+    for start in range(0, len(shared), width):
+        tables = []
+        for (owner, at), sets in zip(place, (left, right)):
+            a, b = np.searchsorted(at, [start, start + width])
+            table = np.zeros((len(sets), min(width, len(shared) - start)), dtype=np.float32)
+            table[owner[a:b], at[a:b] - start] = 1
+            tables.append(table)
+        out += (tables[0] @ tables[1].T).astype(np.int64)
+    return out
 
 
 def near_duplicates(docs: DataFrame, k: int = 48, percent: int = 75, shingle: int = 5) -> DataFrame:

@@ -71,6 +71,7 @@ def test_near_duplicates_by_brute_force(make_docs):
 def test_pairs_left_over_after_stars_are_tried(make_docs, monkeypatch):
     rows = near_corpus(5)
     monkeypatch.setattr(minhash, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(minhash, "BLOCK_PARTNERS", 4)
     got = minhash.near_duplicates(make_docs(rows)).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_groups(rows)
 
@@ -86,6 +87,15 @@ def test_near_duplicates_of_odd_rows(odd_docs, make_docs, by_id):
     assert minhash.near_duplicates(make_docs([])).count() == 0
 
 
+def test_intersections_of_blocks():
+    rng = np.random.default_rng(3)
+    left = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (0, 5, 100, 400)]
+    right = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (7, 250)]
+    for width in (16, 4096):
+        got = minhash.common_members(left, right, width)
+        assert got.tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+
+
 def test_required_overlap_is_safe_and_useful():
     x = minhash.required_overlap(48, 75)
     assert 10 <= x <= 24
