@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from demandloom.functions.calendar import calendar_columns
 from demandloom.functions.parsing import shifted_category
 from demandloom.operators.checks import unique_by
+from demandloom.operators.splits import select_period
 from demandloom.schemas import (
     CATEGORICAL_COLUMNS,
     FEATURE_TABLE_COLUMNS,
     MODEL_COLUMNS,
+    Period,
     series_window,
 )
 from demandloom.session import pin
@@ -121,6 +124,19 @@ def _add_rolling_by_frames(
     )
 
 
+def features_for_period(prepared: DataFrame, period: Period) -> DataFrame:
+    """``series_features`` of one period, from the days that its rows look at.
+
+    A date filter can't pass below the windows by itself. The series are gapless, so the longest lag
+    before the first day and the target's day after the last one are all that is needed.
+    """
+    needed = F.col("date").between(
+        F.lit(period.start - dt.timedelta(max(*LAGS, *MEAN_WINDOWS, *STD_WINDOWS))),
+        F.lit(period.end + dt.timedelta(1)),
+    )
+    return select_period(series_features(prepared.where(needed)), period)
+
+
 def series_features(prepared: DataFrame) -> DataFrame:
     """All features that come from the series itself; rows without a target are dropped.
 

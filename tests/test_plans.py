@@ -70,6 +70,16 @@ def test_period_filter_is_pushed_to_the_stage(tables):
     assert "ReadSchema: struct<date:date,store_id:int,target:double>" in text
 
 
+def test_scoring_a_period_reads_its_days_only(tables):
+    stage = pin(tables.prepared, "prepared")
+    few = features.features_for_period(stage, SPEC.test)
+    text = plan(few)
+    assert "GreaterThanOrEqual(date,2001-05-04)" in text and "LessThanOrEqual(date,2002-01-01)" in text
+    whole = splits.select_period(features.series_features(stage), SPEC.test)
+    assert few.count() == whole.count() > 0
+    assert few.exceptAll(whole).isEmpty() and whole.exceptAll(few).isEmpty()
+
+
 def test_top_errors_are_taken_without_a_global_sort(tables):
     text = plan(evaluation.top_errors(pin(tables.test, "test")))
     assert "TakeOrderedAndProject" in text or "TakeOrdered" in text
