@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.functions.calendar import iso_text
 from demandloom.operators.quantiles import exact_median
 from demandloom.schemas import DAY_KEYS
 
@@ -58,8 +59,9 @@ def item_statistics(sales: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("tx_rows"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-        F.count_distinct("date").alias("distinct_dates"),
-        F.count_distinct("store_id").alias("distinct_stores"),
+        # A third distinct count would copy every row for each of them; days and stores are few.
+        F.size(F.collect_set("date")).cast("long").alias("distinct_dates"),
+        F.size(F.collect_set("store_id")).cast("long").alias("distinct_stores"),
         F.count_distinct("price_base").alias("distinct_prices"),
         F.sum(q).alias("qty_sum"),
         F.min(q).alias("qty_min"),
@@ -232,12 +234,22 @@ def item_presence(
 
 
 def as_report(section: str, df: DataFrame, keys: tuple[str, ...] = ("item_id",)) -> DataFrame:
-    """A result as rows ``(section, *keys, metric, value)``; flags become 0 and 1."""
-    numeric = [c for c, kind in df.dtypes if c not in keys and kind in ("double", "float", "int", "bigint", "boolean")]
-    values = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in numeric])
-    return values.unpivot(list(keys), numeric, "metric", "value").withColumn("section", F.lit(section)).select(
-        "section", *keys, "metric", "value"
-    )
+    """A result as rows ``(section, *keys, metric, value, text)``: numbers and flags (0 and 1) as values,
+    dates as ISO texts."""
+    none = {"value": F.lit(None).cast("double"), "text": F.lit(None).cast("string")}
+    entries = []
+    for name, kind in df.dtypes:
+        if name in keys:
+            continue
+        cell = dict(none)
+        if kind == "date":
+            cell["text"] = iso_text(F.col(name))
+        elif kind in ("double", "float", "int", "bigint", "boolean"):
+            cell["value"] = F.col(name).cast("double")
+        else:
+            continue
+        entries.append(F.struct(F.lit(name).alias("metric"), *[c.alias(n) for n, c in cell.items()]))
+    return df.select(F.lit(section).alias("section"), *keys, F.inline(F.array(*entries)))
 
 
 def audit_report(

@@ -386,7 +386,14 @@ def _long_report() -> str:
             expression, _, name = entry.partition(":")
             parts.append(
                 f"SELECT '{section}' AS section, item_id, '{name or expression}' AS metric, "
-                f"CAST({expression} AS DOUBLE) AS value FROM {source}"
+                f"CAST({expression} AS DOUBLE) AS value, NULL::VARCHAR AS text FROM {source}"
+            )
+    dates = {"presence": "price_first_date price_last_date", "statistics": "first_date last_date"}
+    for source, names in dates.items():
+        for name in names.split():
+            parts.append(
+                f"SELECT '{source}' AS section, item_id, '{name}' AS metric, NULL::DOUBLE AS value, "
+                f"strftime({name}, '%Y-%m-%d') AS text FROM {source}"
             )
     return " UNION ALL ".join(parts)
 
