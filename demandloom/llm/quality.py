@@ -55,7 +55,7 @@ STATISTICS = (
 
 def _logit(part: np.ndarray, whole: np.ndarray, prior: float) -> np.ndarray:
     """Log-odds of a share, smoothed by one observation of the usual share."""
-    return np.log((part + prior) / (whole - part + 1 - prior))
+    return np.log((part + prior) / (np.maximum(whole - part, 0) + 1 - prior))
 
 
 def statistics(texts: list[bytes], block_words: int = 40) -> np.ndarray:

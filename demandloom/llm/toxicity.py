@@ -144,7 +144,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: tuple[in
 def fit(
     sample: pa.Table,
     most_features: int = 800,
-    least_z: float = 4.0,
+    least_z: float = 2.5,
     ridge: float = 0.0002,
     fairness: float = 1.0,
     steps: int = 12,
@@ -175,7 +175,8 @@ def fit(
     spread = np.sqrt(p1 * (1 - p1) / counts[1] + p0 * (1 - p0) / counts[0])
     z = np.abs(p1 - p0) / spread
     best = np.argsort(-z, kind="stable")[:most_features]
-    terms = [t.encode() for t in _KIND]
+    # Neutral words get no weight of their own: they are what mentions are pulled towards.
+    terms = [t.encode() for kind in IDENTITY_TERMS.values() for t in kind[1:]]
     _, own = features(terms)
     keys = np.union1d(values[best[z[best] >= least_z]], np.intersect1d(own, values))
     if not len(keys):
