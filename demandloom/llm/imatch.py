@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import textbytes as tb
@@ -29,6 +29,8 @@ from demandloom.llm.scratch import Scratch
 PARTS = 64
 #: Chances of a term to be in a subset, taken in turn.
 CHANCES = tuple(2.0**-i for i in range(4, 12))
+#: Ranges of ids for each shuffle partition, so that hashing them to tasks comes out even.
+RANGES_PER_PARTITION = 4
 #: A part is the number of its terms, as one digit of these, and four characters of its hash.
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/"
 EMPTY = "0----"
@@ -138,27 +140,57 @@ def edited_text(text: str, following: str) -> str:
     return (text[: len(text) - cut] + following[:cut]) if cut else text
 
 
-def following_ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc_id, next_id, cut``: the next larger id, after the largest the smallest, and how much of it is wanted.
+def range_starts(docs: DataFrame) -> list[int]:
+    """First ids of ranges of about equally many ids: one number a range reaches the driver."""
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
+    # named, because ids alone are so small that they would be put into one partition
+    ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ids.repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("first"))
+    return sorted(r["first"] for r in ranged.collect())
 
-    Ids are put in ranges, each with its own window; only the last id of a range looks at the table
-    of range beginnings. ``cut`` is the longest quarter of the texts of an id.
+
+def in_ranges(docs: DataFrame, starts: list[int], step: int = 64) -> DataFrame:
+    """Rows with ``part``, the range of their id, and ``copy``: the rows of a range's first id go to the
+    range before it too, as copies that close it; those of the smallest id close the last range.
+
+    Rows with a NULL id are spread over parts of their own.
     """
-    ids = (
-        docs.filter("doc_id IS NOT NULL")
-        .groupBy("doc_id")
-        .agg(F.max(F.floor(F.length(F.coalesce("text", F.lit(""))) / 4)).cast("int").alias("cut"))
-    )
-    ranged = scratch.keep("ids", ids.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()))
-    firsts = ranged.groupBy("range").agg(F.min("doc_id").alias("first"))
-    after = F.coalesce(F.lead("first").over(Window.orderBy("range")), F.min("first").over(Window.partitionBy()))
-    beginnings = firsts.select("range", after.alias("after"))
-    own = F.lead("doc_id").over(Window.partitionBy("range").orderBy("doc_id"))
-    return (
-        ranged.withColumn("own", own)
-        .join(beginnings, "range")
-        .select("doc_id", F.coalesce("own", "after").alias("next_id"), "cut")
-    )
+    if not starts:
+        starts = [0]
+    cuts, coarse = (F.array(*map(F.lit, x)) for x in (starts, starts[::step]))
+    below = lambda values: F.size(F.filter(values, lambda c: c <= F.col("doc_id")))
+    major = F.greatest(below(coarse) - 1, F.lit(0)) * step
+    part = major + below(F.slice(cuts, major + 1, F.lit(step))) - 1
+    alone = -1 - F.pmod(F.xxhash64("text"), F.lit(1024)).cast("int")
+    placed = docs.withColumn("part", F.when(F.col("doc_id").isNull(), alone).otherwise(part.cast("int")))
+    own = F.struct(F.col("part"), F.lit(0).alias("copy"))
+    before = F.when(F.col("part") == 0, len(starts) - 1).otherwise(F.col("part") - 1).cast("int")
+    extra = F.struct(before.alias("part"), F.lit(1).alias("copy"))
+    first = (F.col("part") >= 0) & (F.col("doc_id") == F.get(cuts, F.greatest("part", F.lit(0))))
+    places = F.when(first, F.array(own, extra)).otherwise(F.array(own))
+    return placed.select("doc_id", "text", F.inline(places))
+
+
+def with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes, bytes]]:
+    """Id, text and next text of each row that is no copy; rows come by part, copy, id and text."""
+    waiting: list[tuple[int, bytes]] = []
+    current, closed = None, False
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for part, copy, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "copy", "doc_id")), texts):
+            if part != current:
+                yield from ((d, t, b"") for d, t in waiting)
+                waiting, current, closed = [], part, False
+            if doc_id is None:
+                yield None, text, b""
+            elif copy or (waiting and waiting[0][0] != doc_id):
+                if not closed:
+                    yield from ((d, t, text) for d, t in waiting)
+                    waiting = []
+                closed = bool(copy)
+            if doc_id is not None and not copy:
+                waiting.append((doc_id, text))
+    yield from ((d, t, b"") for d, t in waiting)
 
 
 def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_share: float = 0.05) -> DataFrame:
@@ -169,55 +201,51 @@ def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_sh
     the next larger id; if an id has several texts, the smallest of them by code point follows. A row with
     a NULL id has no next document: its last quarter is cut off and ``near_next`` is 0. One document is
     its own next. Extra columns are ignored, an empty table gives no rows.
+
+    Texts move once, to ranges of ids in which each row meets the one after it. Rows of one id wait
+    for the next id in one task.
     """
-    scratch = Scratch(docs.sparkSession, "imatch")
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     lexicon = docs.sparkSession.sparkContext.broadcast(build_lexicon(own, lowest_share, highest_share))
-    order = scratch.keep("order", following_ids(own, scratch))
-    heads = (
-        own.join(order.select(F.col("doc_id").alias("before"), F.col("next_id").alias("doc_id"), "cut"), "doc_id")
-        .groupBy(F.col("before").alias("doc_id"))
-        .agg(F.min(F.substring("text", F.lit(1), F.col("cut"))).alias("head"))
-    )
-
-    def edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in tb.slices(batches):
-            plain = [t.decode() for t in texts]
-            heads_of = [h or "" for h in rows.column("head").to_pylist()]
-            edited = [edited_text(t, h).encode() for t, h in zip(plain, heads_of)]
-            before, after = lexicon.value.fingerprints(texts), lexicon.value.fingerprints(edited)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    pa.array([len(t) for t in plain], pa.int64()),
-                    pa.array([hashlib.sha256(t).hexdigest() for t in edited]),
-                    pa.array(before, pa.string()),
-                    pa.array(after, pa.string()),
-                    pa.array(list(map(likeness, before, after)), pa.float64()),
-                ],
-                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited"],
-            )
-
-    columns = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double"
-    compared = scratch.keep("compared", own.join(heads, "doc_id", "left").mapInArrow(edit, columns))
-    scratch.drop("ids")
-
-    names = compared.columns
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+    def judge(rows: list[tuple[int | None, bytes, bytes]]) -> pa.RecordBatch:
+        plain = [t.decode() for _, t, _ in rows]
+        edited = [edited_text(t, n.decode()).encode() for t, (_, _, n) in zip(plain, rows)]
+        different = {t: None for _, t, n in rows for t in (t, n)}
+        prints = dict(zip(different, lexicon.value.fingerprints(list(different))))
+        before, after = [prints[t] for _, t, _ in rows], lexicon.value.fingerprints(edited)
+        near_next = [0.0 if d is None else likeness(f, prints[n]) for (d, _, n), f in zip(rows, before)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([d for d, _, _ in rows], pa.int64()),
+                pa.array([len(t) for t in plain], pa.int64()),
+                pa.array([hashlib.sha256(t).hexdigest() for t in edited], pa.string()),
+                pa.array(before, pa.string()),
+                pa.array(after, pa.string()),
+                pa.array(list(map(likeness, before, after)), pa.float64()),
+                pa.array(near_next, pa.float64()),
+            ],
+            names,
+        )
 
-    def to_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("fingerprint").to_pylist(), batch.column("next_fingerprint").to_pylist())
-            near = pa.array([0.0 if b is None else likeness(a, b) for a, b in pairs], pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), near], [*names, "near_next"]
-            )
-
-    of_next = (
-        compared.filter("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("next_id"))
-        .agg(F.min("fingerprint").alias("next_fingerprint"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for row in with_next(batches):
+            held.append(row)
+            size += len(row[1]) + 1
+            if size >= tb.SLICE_BYTES:
+                yield judge(held)
+                held, size = [], 0
+        if held:
+            yield judge(held)
+
+    Scratch(docs.sparkSession, "imatch").drop()
+    ranged = in_ranges(own, range_starts(own)).repartition("part").sortWithinPartitions("part", "copy", "doc_id", "text")
+    return ranged.mapInArrow(
+        run,
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        "near_edited double, near_next double",
     )
-    linked = order.select("doc_id", "next_id").join(of_next, "next_id").drop("next_id")
-    return compared.join(linked, "doc_id", "left").mapInArrow(to_next, columns + ", near_next double")
