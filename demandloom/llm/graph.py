@@ -25,14 +25,14 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
     # the sum of a hash of all edges tells whether a round has changed them
     mark, step = _mark(edges), 0
     while True:
-        edges = few_tasks(edges, mark[0])
-        both = edges.union(edges.select("b", "a"))
+        both = few_tasks(edges.union(edges.select("b", "a")), 2 * mark[0])
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = large.filter("a <> b").distinct()
         small_low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(small_low, "a")
         small = small.select(F.col("b").alias("a"), F.col("low").alias("b")).union(small_low.select("a", "low"))
+        small = few_tasks(small, 2 * mark[0])
         step += 1
         edges = scratch.keep(f"{name}-{step}", small.filter("a <> b").distinct())
         found = _mark(edges)
