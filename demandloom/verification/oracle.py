@@ -138,13 +138,13 @@ context AS (
          coalesce(max(h.daily_demand) FILTER (WHERE h.date BETWEEN c.target_date - 28 AND c.target_date - 1), 0) AS prior_28d_max,
          coalesce(stddev_samp(h.daily_demand) FILTER (WHERE h.date BETWEEN c.target_date - 28 AND c.target_date - 1), 0) AS prior_28d_std,
          count(*) FILTER (WHERE h.date BETWEEN c.target_date - 28 AND c.target_date - 1 AND h.daily_demand = 0) AS prior_28d_zeros,
-         coalesce(string_agg(CAST(CAST(h.daily_demand AS BIGINT) AS VARCHAR), ',' ORDER BY h.date) FILTER (WHERE h.date BETWEEN c.target_date - 28 AND c.target_date - 1), '') AS prior_28d_series,
+         coalesce(string_agg(CAST(CAST(round(h.daily_demand, 6) AS DECIMAL(28, 6)) AS VARCHAR), ',' ORDER BY h.date) FILTER (WHERE h.date BETWEEN c.target_date - 28 AND c.target_date - 1), '') AS prior_28d_series,
          coalesce(avg(h.daily_demand) FILTER (WHERE h.date BETWEEN c.target_date + 1 AND c.target_date + 7), 0) AS post_7d_mean,
          coalesce(median(h.daily_demand) FILTER (WHERE h.date BETWEEN c.target_date + 1 AND c.target_date + 7), 0) AS post_7d_median,
          coalesce(max(h.daily_demand) FILTER (WHERE h.date BETWEEN c.target_date + 1 AND c.target_date + 7), 0) AS post_7d_max,
          coalesce(stddev_samp(h.daily_demand) FILTER (WHERE h.date BETWEEN c.target_date + 1 AND c.target_date + 7), 0) AS post_7d_std,
          count(*) FILTER (WHERE h.date BETWEEN c.target_date + 1 AND c.target_date + 7 AND h.daily_demand = 0) AS post_7d_zeros,
-         coalesce(string_agg(CAST(CAST(h.daily_demand AS BIGINT) AS VARCHAR), ',' ORDER BY h.date) FILTER (WHERE h.date BETWEEN c.target_date + 1 AND c.target_date + 7), '') AS post_7d_series,
+         coalesce(string_agg(CAST(CAST(round(h.daily_demand, 6) AS DECIMAL(28, 6)) AS VARCHAR), ',' ORDER BY h.date) FILTER (WHERE h.date BETWEEN c.target_date + 1 AND c.target_date + 7), '') AS post_7d_series,
          max(h.daily_demand) AS hist_max_all_time,
          count(*) FILTER (WHERE h.daily_demand >= 100) AS times_exceeded_100,
          count(*) FILTER (WHERE h.daily_demand >= 500) AS times_exceeded_500,
@@ -718,7 +718,8 @@ def statements() -> dict[str, str]:
                   rolling_std_7, rolling_std_28, prior_28d_mean, prior_28d_median, prior_28d_max, prior_28d_std,
                   prior_28d_zeros, post_7d_mean, post_7d_median, post_7d_max, post_7d_std, post_7d_zeros,
                   hist_max_all_time, times_exceeded_100, times_exceeded_500, raw_rows, raw_sales_qty, raw_price_base,
-                  raw_sum_total, spike_vs_prior_mean, spike_vs_prior_max, classification, evidence
+                  raw_sum_total, spike_vs_prior_mean, spike_vs_prior_max, classification, evidence,
+                  prior_28d_series, post_7d_series
            FROM investigated""",
         _CASE_DOUBLES,
     )

@@ -437,16 +437,18 @@ def sample_predictions(t: Tables) -> DataFrame:
 
 
 def _series_text(name: str):
-    return F.array_join(F.transform(name, lambda x: x.cast("long").cast("string")), ",").alias(name)
+    """The values of a list with 6 places; as decimals, which print alike in Spark and DuckDB."""
+    return F.array_join(F.transform(name, lambda x: F.round(x, 6).cast("decimal(28,6)").cast("string")), ",")
+
+
+def _with_series_text(context: DataFrame) -> DataFrame:
+    series = ("prior_28d_series", "post_7d_series")
+    return context.withColumns({c: _series_text(c) for c in series})
 
 
 @query()
 def spike_windows(t: Tables) -> DataFrame:
-    context = investigation.spike_context(t.cases, t.stored_prepared)
-    series = ("prior_28d_series", "post_7d_series")
-    return context.select(
-        *[c for c in context.columns if c not in series], *[_series_text(c) for c in series]
-    )
+    return _with_series_text(investigation.spike_context(t.cases, t.stored_prepared))
 
 
 @query()
@@ -457,7 +459,7 @@ def rolling_context(t: Tables) -> DataFrame:
 @query(raw_sum_total=4)
 def spike_classification(t: Tables) -> DataFrame:
     found = investigation.investigate_errors(t.cases, t.stored_prepared, t.sales, t.catalog)
-    return found.drop("prior_28d_series", "post_7d_series")
+    return _with_series_text(found)
 
 
 @query()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from demandloom.operators import cohorts, evaluation, exploration, investigation, reconciliation, splits
 from demandloom.schemas import Period, SplitSpec
+from demandloom.verification import oracle, queries
 
 DAY = dt.date(2024, 7, 10)
 
@@ -217,3 +218,15 @@ def test_catalog_copies_count_as_in_the_plain_join(spark, make_sales):
     ):
         expected = joined.where(f"{key} IS NOT NULL").groupBy(key).agg(F.sum("quantity")).collect()
         assert dict(map(tuple, totals.collect())) == dict(map(tuple, expected))
+
+
+def test_series_of_a_case_keep_fractions(spark):
+    row = spark.sql("SELECT array(0.5D, 2.0D, 1.25D) AS s, CAST(array() AS array<double>) AS none")
+    found = row.select(queries._series_text("s").alias("s"), queries._series_text("none").alias("none")).first()
+    assert (found.s, found.none) == ("0.500000,2.000000,1.250000", "")
+
+
+def test_series_are_compared_in_both_spike_queries():
+    sql = oracle.statements()
+    for name in ("spike_windows", "spike_classification"):
+        assert "prior_28d_series" in sql[name] and "AS BIGINT) AS VARCHAR), ',' ORDER BY" not in sql[name]
