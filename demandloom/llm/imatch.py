@@ -5,6 +5,8 @@ subsets of it gives one part of the fingerprint: the sorted distinct terms of th
 are in the subset, hashed together. Subsets are small, of several sizes, so that some of them hold one
 or two terms of a short document and others of a long one. Likeness is the share of equal parts
 among those in which either document has a term; a part counts the less the more terms it depends on.
+Each term of the lexicon is in one subset at least. Documents without any such term are compared by
+their whole sets of terms.
 
 Document frequencies are counted over all documents. The band is a share of the number of
 documents, so the lexicon has at most (distinct terms per document) / ``lowest_share`` terms however
@@ -70,6 +72,13 @@ class Lexicon:
         for j in range(PARTS):
             drawn = tb.mix(self.terms ^ tb.mix(np.array([seed * 1000 + j], dtype=np.uint64))[0])
             self.member[:, j] = drawn < np.uint64(int(CHANCES[j % len(CHANCES)] * 2**64))
+        # The draws leave about a third of the terms out of all subsets. Each of those gets one, by the
+        # chances of the subsets, so that large subsets stay large against small ones.
+        out = np.flatnonzero(~self.member.any(axis=1))
+        shares = np.cumsum(np.resize(CHANCES, PARTS))
+        drawn = tb.mix(self.terms[out] ^ tb.mix(np.array([seed * 1000 + PARTS], dtype=np.uint64))[0])
+        home = np.searchsorted(shares, drawn / 2.0**64 * shares[-1], side="right")
+        self.member[out, np.minimum(home, PARTS - 1)] = True
 
     def fingerprints(self, texts: list[bytes]) -> list[str]:
         """One string a text: the hashes of its parts, ``EMPTY`` where it has no term."""
@@ -97,6 +106,7 @@ def likeness(a: str, b: str) -> float:
     """
     if a == b:
         return 1.0
+    # one of the two has a part with a term, so the sum below is not zero
     width, same, total = len(EMPTY), 0.0, 0.0
     for i in range(0, len(a), width):
         most = max(DIGITS.index(a[i]), DIGITS.index(b[i]))
@@ -107,6 +117,18 @@ def likeness(a: str, b: str) -> float:
     return same / total
 
 
+def text_likeness(a: str, b: str, text_a: bytes, text_b: bytes) -> float:
+    """``likeness`` of two texts' fingerprints.
+
+    Fingerprints without any term say nothing about their texts: those are alike, with 1, if they have
+    the same set of terms, else with 0.
+    """
+    if a == b == EMPTY * PARTS and text_a != text_b:
+        (_, one), (_, other) = document_terms([text_a]), document_terms([text_b])
+        return float(np.array_equal(one, other))
+    return likeness(a, b)
+
+
 _WEIGHTS = [0.0] + [1 / n**2 for n in range(1, 64)]
 
 
@@ -217,7 +239,8 @@ def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_sh
         different = {t: None for _, t, n in rows for t in (t, n)}
         prints = dict(zip(different, lexicon.value.fingerprints(list(different))))
         before, after = [prints[t] for _, t, _ in rows], lexicon.value.fingerprints(edited)
-        near_next = [0.0 if d is None else likeness(f, prints[n]) for (d, _, n), f in zip(rows, before)]
+        near_edited = [text_likeness(f, g, t, e) for (_, t, _), e, f, g in zip(rows, edited, before, after)]
+        near_next = [0.0 if d is None else text_likeness(f, prints[n], t, n) for (d, t, n), f in zip(rows, before)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([d for d, _, _ in rows], pa.int64()),
@@ -225,7 +248,7 @@ def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_sh
                 pa.array([hashlib.sha256(t).hexdigest() for t in edited], pa.string()),
                 pa.array(before, pa.string()),
                 pa.array(after, pa.string()),
-                pa.array(list(map(likeness, before, after)), pa.float64()),
+                pa.array(near_edited, pa.float64()),
                 pa.array(near_next, pa.float64()),
             ],
             names,

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -106,3 +107,22 @@ def test_lexicon_keeps_the_band(spark, make_docs):
     lexicon = imatch.build_lexicon(docs, 0.1, 0.6)
     _, wanted = imatch.document_terms([b"half0 half1"])
     assert set(lexicon.terms.tolist()) == set(wanted.tolist())
+
+
+def test_every_term_of_the_lexicon_is_in_a_subset():
+    lexicon = imatch.Lexicon(np.arange(1, 20_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    assert lexicon.member.any(axis=1).all()
+    sizes = lexicon.member.sum(axis=0).reshape(-1, len(imatch.CHANCES)).sum(axis=0)
+    assert (sizes[:-1] > 1.3 * sizes[1:]).all()  # large subsets stay larger than small ones
+
+
+def test_texts_without_a_term_of_the_lexicon_are_compared_by_terms(make_docs):
+    # in more than a twentieth of the documents, so in no band
+    rows = [(i, "common words") for i in range(30)] + [(100, "alpha beta"), (101, "gamma delta"), (102, "delta, gamma!")]
+    rows += [(200 + i, ("alpha beta ", "gamma delta ")[i % 2] + f"rare{i}") for i in range(30)]
+    docs = make_docs(rows)
+    got = {r["doc_id"]: r for r in imatch.compare_with_edits(docs).collect()}
+    assert {got[i]["fingerprint"] for i in (29, 100, 101, 102)} == {imatch.EMPTY * imatch.PARTS}
+    assert got[0]["near_next"] == 1.0
+    assert got[29]["near_next"] == got[100]["near_next"] == 0.0
+    assert got[101]["near_next"] == 1.0
