@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ PARTS = 64
 CHANCES = tuple(2.0**-i for i in range(4, 12))
 #: Ranges of ids for each shuffle partition, so that hashing them to tasks comes out even.
 RANGES_PER_PARTITION = 4
+#: Rows of one id, at least, before they are spread.
+LEAST_REPEATS = 256
 #: A part is the number of its terms, as one digit of these, and four characters of its hash.
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/"
 EMPTY = "0----"
@@ -166,53 +169,108 @@ def range_starts(docs: DataFrame) -> list[int]:
     """First ids of ranges of about equally many ids: one number a range reaches the driver."""
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
     # named, because ids alone are so small that they would be put into one partition
-    ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = ids.repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("first"))
+    ranged = ids.repartitionByRange(_ranges(docs), "doc_id").groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("first"))
     return sorted(r["first"] for r in ranged.collect())
 
 
-def in_ranges(docs: DataFrame, starts: list[int], step: int = 64) -> DataFrame:
+def _ranges(docs: DataFrame) -> int:
+    return RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Repeated(NamedTuple):
+    """An id of many rows: how many tasks' worth of them there is, and the id that follows."""
+
+    doc_id: int
+    salts: int
+    following: int
+
+
+def repeated_ids(docs: DataFrame, most_rows: int | None = None) -> list[Repeated]:
+    """Ids with more than ``most_rows`` rows, in order: without a number, those that outweigh an average range.
+
+    By that there are no more of them than ranges.
+    """
+    counted = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    if most_rows is None:
+        total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        most_rows = max(LEAST_REPEATS, -(-total // _ranges(docs)))
+    hot = sorted((r["doc_id"], r["n"]) for r in counted.filter(F.col("n") > most_rows).collect())
+    if not hot:
+        return []
+    ids = F.array(*[F.lit(d) for d, _ in hot])
+    # the smallest id above so many of the repeated ones
+    above = F.size(F.filter(ids, lambda c: c < F.col("doc_id")))
+    least = {r["above"]: r["first"] for r in counted.groupBy(above.alias("above")).agg(F.min("doc_id").alias("first")).collect()}
+    return [Repeated(d, -(-n // most_rows), least.get(i + 1, least[0])) for i, (d, n) in enumerate(hot)]
+
+
+def in_ranges(docs: DataFrame, starts: list[int], repeated: list[Repeated] = (), step: int = 64) -> DataFrame:
     """Rows with ``part``, the range of their id, and ``copy``: the rows of a range's first id go to the
     range before it too, as copies that close it; those of the smallest id close the last range.
 
-    Rows with a NULL id are spread over parts of their own.
+    Rows with a NULL id are spread over parts of their own, and so are those of a ``repeated`` id: in its
+    range one row with its smallest text stands for them, which is not ``shown``, and each of their parts
+    is closed by the smallest text of the id that follows.
     """
     if not starts:
         starts = [0]
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", "text").withColumn("shown", F.lit(True))
+    if repeated:
+        wanted = sorted({r.doc_id for r in repeated} | {r.following for r in repeated})
+        least = docs.filter(F.col("doc_id").isin(wanted)).groupBy("doc_id").agg(F.min("text").alias("text"))
+        firsts = np.cumsum([len(starts)] + [r.salts for r in repeated]).tolist()
+        # one row a repeated id, of which there are no more than ranges; one row a part of theirs
+        hot = F.broadcast(spark.createDataFrame([(r.doc_id, a, r.salts) for r, a in zip(repeated, firsts)], "doc_id long, first int, salts int"))
+        ends = F.broadcast(
+            spark.createDataFrame([(r.following, r.doc_id, a + k) for r, a in zip(repeated, firsts) for k in range(r.salts)], "doc_id long, own long, part int")
+        )
+        salt = F.floor(F.rand(1) * F.col("salts")).cast("int")
+        apart = rows.join(hot, "doc_id").select("doc_id", "text", (F.col("first") + salt).alias("part"), F.lit(0).alias("copy"), "shown")
+        closing = least.join(ends, "doc_id").select("doc_id", "text", "part", F.lit(1).alias("copy"), F.lit(False).alias("shown"))
+        apart = apart.unionByName(closing)
+        stand_in = least.join(hot, "doc_id", "left_semi").select("doc_id", "text", F.lit(False).alias("shown"))
+        rows = rows.join(hot, "doc_id", "left_anti").unionByName(stand_in)
     cuts, coarse = (F.array(*map(F.lit, x)) for x in (starts, starts[::step]))
     below = lambda values: F.size(F.filter(values, lambda c: c <= F.col("doc_id")))
     major = F.greatest(below(coarse) - 1, F.lit(0)) * step
     part = major + below(F.slice(cuts, major + 1, F.lit(step))) - 1
     alone = -1 - F.pmod(F.xxhash64("text"), F.lit(1024)).cast("int")
-    placed = docs.withColumn("part", F.when(F.col("doc_id").isNull(), alone).otherwise(part.cast("int")))
-    own = F.struct(F.col("part"), F.lit(0).alias("copy"))
+    placed = rows.withColumn("part", F.when(F.col("doc_id").isNull(), alone).otherwise(part.cast("int")))
+    own = F.struct(F.col("part"), F.lit(0).alias("copy"), F.col("shown"))
     before = F.when(F.col("part") == 0, len(starts) - 1).otherwise(F.col("part") - 1).cast("int")
-    extra = F.struct(before.alias("part"), F.lit(1).alias("copy"))
+    extra = F.struct(before.alias("part"), F.lit(1).alias("copy"), F.lit(False).alias("shown"))
     first = (F.col("part") >= 0) & (F.col("doc_id") == F.get(cuts, F.greatest("part", F.lit(0))))
     places = F.when(first, F.array(own, extra)).otherwise(F.array(own))
-    return placed.select("doc_id", "text", F.inline(places))
+    found = placed.select("doc_id", "text", F.inline(places))
+    return found.unionByName(apart) if repeated else found
+
+
+#: The order in which ``with_next`` reads rows: columns, and whether they ascend.
+READING = {"part": True, "copy": False, "doc_id": False, "text": True}
 
 
 def with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes, bytes]]:
-    """Id, text and next text of each row that is no copy; rows come by part, copy, id and text."""
-    waiting: list[tuple[int, bytes]] = []
-    current, closed = None, False
+    """Id, text and next text of each row that is shown; rows come by part and from the last id to the first.
+
+    So the next text is known when a row comes, and none waits: two texts are held. The texts of an id
+    come in order, the first of them is the next one of the id before.
+    """
+    current = part = None
+    smallest = following = b""
     for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        for part, copy, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "copy", "doc_id")), texts):
-            if part != current:
-                yield from ((d, t, b"") for d, t in waiting)
-                waiting, current, closed = [], part, False
+        texts = batch.column("text").cast(pa.binary())
+        for i, (own, copy, doc_id, shown) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("part", "copy", "doc_id", "shown")))):
+            text = texts[i].as_py()
+            if own != part:
+                part, current, smallest = own, None, b""
             if doc_id is None:
                 yield None, text, b""
-            elif copy or (waiting and waiting[0][0] != doc_id):
-                if not closed:
-                    yield from ((d, t, text) for d, t in waiting)
-                    waiting = []
-                closed = bool(copy)
-            if doc_id is not None and not copy:
-                waiting.append((doc_id, text))
-    yield from ((d, t, b"") for d, t in waiting)
+                continue
+            if (copy, doc_id) != current:
+                current, following, smallest = (copy, doc_id), smallest, text
+            if shown:
+                yield doc_id, text, following
 
 
 def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_share: float = 0.05) -> DataFrame:
@@ -224,8 +282,8 @@ def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_sh
     a NULL id has no next document: its last quarter is cut off and ``near_next`` is 0. One document is
     its own next. Extra columns are ignored, an empty table gives no rows.
 
-    Texts move once, to ranges of ids in which each row meets the one after it. Rows of one id wait
-    for the next id in one task.
+    Texts move once, to ranges of ids in which each row meets the one after it. The rows of an id that has
+    more of them than an average range are spread over tasks.
     """
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -266,7 +324,8 @@ def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_sh
             yield judge(held)
 
     Scratch(docs.sparkSession, "imatch").drop()
-    ranged = in_ranges(own, range_starts(own)).repartition("part").sortWithinPartitions("part", "copy", "doc_id", "text")
+    placed = in_ranges(own, range_starts(own), repeated_ids(own))
+    ranged = placed.repartition("part").sortWithinPartitions(*READING, ascending=list(READING.values()))
     return ranged.mapInArrow(
         run,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

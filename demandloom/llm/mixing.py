@@ -22,6 +22,8 @@ from demandloom.llm.scratch import Scratch
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of a source that one bucket of its shuffle order should hold.
 BUCKET_ROWS = 20_000
+#: Buckets for the rows of a source with a NULL id and one size.
+SPREAD = 64
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -35,6 +37,27 @@ def shuffle_key(doc_id: str = "doc_id", seed: str = "mix") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
 
 
+def with_buckets(sized: DataFrame, digits: int, seed: str = "mix") -> DataFrame:
+    """Add ``bucket``, in the shuffle order ``key, doc_id, size`` of a source: the first digits of the key.
+
+    Rows with a NULL id have one key. They are cut again by size, and those of one size by ``spread``: as
+    they differ in nothing that the order or the result shows, any order of them is the same.
+    """
+    alone = F.md5(F.lit(f"{seed}-"))
+    unnamed = F.col("doc_id").isNull()
+    place = F.when(unnamed, 1).when(F.col("key") < alone, 0).otherwise(2)
+    return sized.withColumn(
+        "bucket",
+        F.struct(
+            F.substring("key", 1, digits).alias("digits"),
+            # the rows before, of and after the key of NULL ids; elsewhere the digits are enough
+            F.when(F.substring("key", 1, digits) == F.substring(alone, 1, digits), place).otherwise(0).alias("place"),
+            F.when(unnamed, F.col("size")).otherwise(F.lit(0)).alias("of_size"),
+            F.when(unnamed, F.col("spread")).otherwise(F.lit(0)).alias("spread"),
+        ),
+    ).drop("spread")
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
     """Targets of sources from their sizes ``(source, source_size)``.
 
@@ -82,12 +105,14 @@ def mix_sources(
     rows of their own. Extra columns are ignored. No row is taken more than ``max_repeats`` times.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
+    # written with its number, so that rows with a NULL id keep their place among equals
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int").alias("spread")
     sized = scratch.keep(
-        "sized", docs.select("doc_id", "source", word_count().alias("size"), shuffle_key(seed=seed).alias("key"))
+        "sized", docs.select("doc_id", "source", word_count().alias("size"), shuffle_key(seed=seed).alias("key"), spread)
     )
     rows = sized.count()
     digits = max(2, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS + 1, 16)))
-    sized = sized.withColumn("bucket", F.substring("key", 1, digits))
+    sized = with_buckets(sized, digits, seed)
 
     # One row for each source and bucket: offsets within the source, and the source's target.
     counted = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))

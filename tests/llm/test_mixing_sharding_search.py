@@ -57,6 +57,29 @@ def test_mix_of_odd_rows(odd_docs, make_docs):
     assert {r["taken"] for r in mixing.mix_sources(make_docs([(1, ""), (2, None)])).collect()} == {0}
 
 
+def test_rows_without_an_id_are_cut_into_buckets_in_the_same_order(spark, make_docs):
+    rows = [(None, "w " * (i % 5 + 1), "a") for i in range(2000)] + [(i, "w " * (i % 7), "a") for i in range(500)]
+    docs = make_docs(rows)
+    sized = docs.select(
+        "doc_id", "source", mixing.word_count().alias("size"), mixing.shuffle_key().alias("key"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(mixing.SPREAD)).cast("int").alias("spread"),
+    )
+    found = mixing.with_buckets(sized, 2).collect()
+    held = {}
+    for r in found:
+        held[r["bucket"]] = held.get(r["bucket"], 0) + 1
+    assert max(held.values()) <= 40
+    shown = lambda r: (r["key"], r["doc_id"] is not None, r["doc_id"] or 0, r["size"])
+    in_buckets = sorted(found, key=lambda r: (tuple(r["bucket"]), shown(r)))
+    assert [shown(r) for r in in_buckets] == sorted(map(shown, found))
+    # finish times are running sums in that order
+    got = sorted((r["finish"], r["size"]) for r in mixing.mix_sources(docs).filter("size > 0").collect())
+    sent, target = 0, mixing.mix_sources(docs).first()["target"]
+    for (finish, size), row in zip(got, [r for r in in_buckets if r["size"]]):
+        sent += row["size"]
+        assert size == row["size"] and abs(finish * target - sent) < 1e-6
+
+
 def test_mixed_documents_repeat_rows(make_docs, odd_docs):
     docs = make_docs([(i, "w " * 30, "a") for i in range(60)] + [(100 + i, "v " * 5, "b") for i in range(4)])
     mixed = mixing.mixed_documents(docs)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -126,3 +127,40 @@ def test_texts_without_a_term_of_the_lexicon_are_compared_by_terms(make_docs):
     assert got[0]["near_next"] == 1.0
     assert got[29]["near_next"] == got[100]["near_next"] == 0.0
     assert got[101]["near_next"] == 1.0
+
+
+def test_rows_of_a_repeated_id_are_spread_and_find_the_next_text(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(imatch, "LEAST_REPEATS", 20)
+    rows = [(5, f"word{i % 90} other text {i % 7}") for i in range(300)] + [(9, f"last {i} of all texts") for i in range(200)]
+    rows += [(i, f"single {i} with some text") for i in (1, 2, 6, 7)] + [(None, "no id at all")] * 3
+    docs = make_docs(rows)
+    hot = imatch.repeated_ids(docs)
+    assert [(r.doc_id, r.following) for r in hot] == [(5, 6), (9, 1)] and all(r.salts >= 4 for r in hot)
+    placed = imatch.in_ranges(docs, imatch.range_starts(docs), hot)
+    assert placed.filter("shown").count() == len(rows)
+    assert placed.groupBy("part").count().agg({"count": "max"}).first()[0] <= 100
+    firsts = {}
+    for d, t in rows:
+        if d is not None:
+            firsts[d] = min(t, firsts.get(d, t))
+    order = sorted(firsts)
+    following = {d: firsts[order[(i + 1) % len(order)]] for i, d in enumerate(order)}
+    expected = []
+    for d, t in rows:
+        cut = len(t) // 4
+        expected.append((str(d), hashlib.sha256((t[: len(t) - cut] + following.get(d, "")[:cut]).encode()).hexdigest()))
+    got = [(str(r["doc_id"]), r["edited_sha256"]) for r in imatch.compare_with_edits(docs).collect()]
+    assert sorted(got) == sorted(expected)
+
+
+def test_no_row_waits_for_the_next_id():
+    """Two texts are held, however many rows an id has: each row comes out before the next one is read."""
+    taken = []
+
+    def batches():
+        for i in range(50):
+            taken.append(i)
+            yield pa.RecordBatch.from_pydict({"part": [0], "copy": [0], "doc_id": [3], "shown": [True], "text": [f"t{i:02}"]})
+
+    stream = imatch.with_next(batches())
+    assert next(stream)[:2] == (3, b"t00") and len(taken) == 1
