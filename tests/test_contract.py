@@ -1,13 +1,14 @@
-"""Every registered query against its SQL, on the smallest test folder."""
+"""Every query of the library against its SQL, on the smallest test folder."""
 
 import pytest
 
 import __spark_entry__ as contract
 from conftest import SMALL
+from demandloom.verification import oracle, queries
 from demandloom.verification.check import compare, duckdb_tables
 from demandloom.verification.queries import Tables, over
 
-NAMES = list(contract.queries())
+NAMES = list(queries.registered())
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def tables(spark):
     return Tables(spark, SMALL)
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if n in contract.oracle_sql()])
+@pytest.mark.parametrize("name", [n for n in NAMES if n in oracle.statements()])
 def test_query_agrees_with_sql(tables, con, name):
     df = over(tables, name)
     verdict, _ = compare(con, name, df)
@@ -32,8 +33,13 @@ def test_query_agrees_with_sql(tables, con, name):
 
 
 def test_only_model_training_has_no_sql():
-    assert set(NAMES) - set(contract.oracle_sql()) == {"gbt_train_score"}
-    assert set(contract.oracle_sql()) <= set(NAMES)
+    assert set(NAMES) - set(oracle.statements()) == {"gbt_train_score"}
+    assert set(oracle.statements()) <= set(NAMES)
+
+
+def test_entry_file_registers_the_whole_library():
+    assert set(NAMES) <= set(contract.queries())
+    assert set(oracle.statements()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry_is_the_feature_table(spark):
