@@ -42,6 +42,50 @@ SELECT s.doc_id, s.size::BIGINT AS size, s.source_size, s.target,
 FROM sent s LEFT JOIN taken t ON s.doc_id = t.doc_id AND s.turn = t.turn AND s.sent = t.sent
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, p.i AS piece, doc,
+         regexp_extract_all(p.t, '[^\x20\x09]+') AS words
+  FROM (SELECT lang, row_number() OVER () AS doc,
+               string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[.,;:!?\x0A-\x0D]') AS parts
+        FROM documents WHERE text IS NOT NULL) d,
+       (SELECT unnest(d.parts) AS t, generate_subscripts(d.parts, 1) AS i) p),
+words AS (
+  SELECT lang, doc, piece, u.i AS place, u.w AS w1,
+         lead(u.w, 1) OVER next AS w2, lead(u.w, 2) OVER next AS w3
+  FROM pieces, (SELECT unnest(words) AS w, generate_subscripts(words, 1) AS i) u
+  WINDOW next AS (PARTITION BY doc, piece ORDER BY u.i)),
+f1 AS (SELECT lang, w1, count(*)::HUGEINT AS f FROM words GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*)::HUGEINT AS f FROM words WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*)::HUGEINT AS f FROM words WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT lang, count(*)::BIGINT AS n FROM words GROUP BY lang),
+longer AS (
+  SELECT lang, w1, w2, max(f) AS f
+  FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) x GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+  LEFT JOIN longer o ON o.lang = c.lang AND o.w1 = c.w1 AND o.w2 = c.w2
+  WHERE c.f >= 10 AND (o.f IS NULL OR 100 * o.f < 50 * c.f)
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, x.f, y.f
+  FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1
+  JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f
+  FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2
+  JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3),
+scored AS (SELECT *, 1000000 * a * a // (l * r) AS score FROM cuts),
+lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS best FROM scored) x WHERE best = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT r.lang, r.rank::BIGINT AS rank, r.phrase, r.a::BIGINT AS a, r.l::BIGINT AS l, r.r::BIGINT AS r, s.n,
+       r.score::BIGINT AS score
+FROM ranked r JOIN sizes s ON s.lang = r.lang WHERE r.rank <= 2000
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op9_source_mixing": OP9}
+    return {"op9_source_mixing": OP9, "op11_phrase_collocations": OP11}
