@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import ann, bpe, imatch, minhash, mixing, phrases, quality, sharding, substrings, toxicity, url_filter
+from demandloom.llm import ann, ball_codes, bpe, imatch, language_id, minhash, mixing, phrases, quality, sharding, substrings, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,5 +71,13 @@ def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.mine_phrases(_table(spark, folder, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_codes.vector_codes(_table(spark, folder, "embeddings"))
+
+
+def op13_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(_table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
