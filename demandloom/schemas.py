@@ -42,7 +42,7 @@ DEMAND = T.StructType(
     ]
 )
 
-# Raw text on disk: the physical attributes hold numbers or junk and are parsed leniently.
+# The catalog's columns. Raw text on disk: the physical attributes hold numbers or junk and are parsed leniently.
 CATALOG = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -69,7 +69,7 @@ PRICE_HISTORY = T.StructType(
 
 DISCOUNTS_HISTORY = T.StructType([T.StructField("item_id", T.StringType())])
 
-# Catalog label -> name of its ordinal code.
+# Catalog label -> name of its ordinal code, and the physical attributes.
 LABEL_CODES = {
     "dept_name": "dept_code",
     "class_name": "class_code",
@@ -107,6 +107,7 @@ MODEL_COLUMNS = (
     "fatness",
 )
 CATEGORICAL_COLUMNS = ("store_id", "item_code", *LABEL_CODES.values())
+CALENDAR_COLUMNS = ("day_of_week", "day_of_month", "month", "week_of_year", "is_weekend")
 NUMERIC_COLUMNS = tuple(c for c in MODEL_COLUMNS if c not in CATEGORICAL_COLUMNS)
 FEATURE_TABLE_COLUMNS = ("date", "item_id", *MODEL_COLUMNS, "target")
 

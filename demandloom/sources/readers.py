@@ -7,6 +7,7 @@ the chunking there is.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -117,3 +118,13 @@ def extract_item(
     """Rows of one item; empty if the table is missing or holds none."""
     table = read_optional(spark, path, schema, format).where(F.col("item_id") == item_id)
     return table if columns is None else table.select(*columns)
+
+
+def partition_days(spark: SparkSession, path: str, column: str) -> list[dt.date]:
+    """Days that a stage has folders ``column=<day>`` for, in order; reads names only."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(folder)]
+    return sorted(dt.date.fromisoformat(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}="))

@@ -24,8 +24,11 @@ from demandloom.operators import (
     investigation,
     model,
     reconciliation,
+    reports,
+    sketches,
     splits,
 )
+from demandloom.plans import append, runs
 from demandloom.schemas import DAY_KEYS, SALES, SERIES_KEYS
 from demandloom.session import pin, shared_folder
 from demandloom.sources import readers, sinks, views
@@ -341,6 +344,20 @@ def features_full(t: Tables) -> DataFrame:
     return t.features
 
 
+@query()
+def features_appended(t: Tables) -> DataFrame:
+    """The feature table from a full run and then the last three days one by one, the last of them twice."""
+    stages = runs.StageFolder(f"{shared_folder(t.spark).rstrip('/')}/append-{uuid.uuid4().hex}")
+    items = pin(catalog.item_codes(t.sales.dropna(subset=list(DAY_KEYS))), "items")
+    codes = pin(catalog.catalog_codes(t.catalog), "codes")
+    days = [r["date"] for r in t.stored_daily.select("date").distinct().orderBy(F.desc("date")).limit(4).collect()]
+    history = demand.prepare_demand(t.stored_daily.where(F.col("date") <= F.lit(days[3])))
+    append.start_appending(t.spark, stages, days[3], history, features.build_features(history, items, codes, trusted=True))
+    for day in (days[2], days[1], days[0], days[0]):
+        append.append_day(t.spark, stages, day, t.stored_daily.where(F.col("date") == F.lit(day)), items, codes)
+    return append.appended(t.spark, stages).drop("run_date")
+
+
 @query(price=3, price_change=3)
 def model_input(t: Tables) -> DataFrame:
     return features.model_input(t.features)
@@ -451,6 +468,26 @@ def spike_windows(t: Tables) -> DataFrame:
     return _with_series_text(investigation.spike_context(t.cases, t.stored_prepared))
 
 
+@query()
+def spike_windows_by_bins(t: Tables) -> DataFrame:
+    """The surroundings of every row of the test period, each a case of its own."""
+    rows = t.stored_test.withColumns({"rank": F.xxhash64(*DAY_KEYS), "target_date": F.date_add("date", 1)})
+    rows = pin(rows.select("rank", *DAY_KEYS, "target_date"), "all-cases")
+    found = investigation.spike_context_by_bins(rows, t.stored_prepared).drop("prior_28d_series", "post_7d_series")
+    return found.join(rows.select("rank", *DAY_KEYS), "rank").drop("rank")
+
+
+@query(value=3)
+def investigation_report_long(t: Tables) -> DataFrame:
+    found = pin(investigation.investigate_errors(t.cases, t.stored_prepared, t.sales, t.catalog), "investigated")
+    return reports.investigation_report(t.stored_test, found)
+
+
+@query(value=3)
+def cold_start_report_long(t: Tables) -> DataFrame:
+    return reports.cold_start_report(t.stored_test, t.training_items, t.catalog, views.ANOMALY_ITEM)
+
+
 @query()
 def rolling_context(t: Tables) -> DataFrame:
     return investigation.rolling_context(t.prepared)
@@ -572,6 +609,24 @@ def sales_shape(t: Tables) -> DataFrame:
     )
 
 
+@query()
+def approx_counts_by_month(t: Tables) -> DataFrame:
+    """Distinct items and stores of each month from sketches by day and store, against the exact counts."""
+    stored = pin(sketches.sales_sketches(t.sales), "sketches")
+    estimates = sketches.distinct_estimates(sketches.merge_sketches(stored, [sketches.month()]))
+    return sketches.counts_within_bound(t.sales, estimates, [sketches.month()], ["month"])
+
+
+@query()
+def approx_quantiles_by_store(t: Tables) -> DataFrame:
+    """Quantiles of the quantities of each store, by the rank that the estimates have among all rows."""
+    stored = pin(sketches.sales_sketches(t.sales), "sketches")
+    merged = sketches.merge_sketches(stored, ["store_id"])
+    estimates = sketches.quantile_estimates(merged, "quantity", [0.01, 0.25, 0.5, 0.75, 0.99], ["store_id"])
+    # a merge of many sketches errs more often than the bound of one says: twice that is asked for
+    return sketches.ranks_within_bound(t.sales, "quantity", estimates, ["store_id"], 2 * sketches.rank_error())
+
+
 @query()
 def top_items(t: Tables) -> DataFrame:
     return exploration.top_items(t.sales, t.catalog)
@@ -585,9 +640,8 @@ def department_sales(t: Tables) -> DataFrame:
 # --- model --------------------------------------------------------------------------------
 
 
-# Depth, bins and step are the operator's own. A round costs the same work again, so the query has a
-# tenth of the 200 rounds and a quarter of the patience; README gives the time.
-TRAINING = model.BoostingParams(rounds=20, patience=5)
+# The operator's own settings: up to 200 rounds, ended 20 rounds after the best one.
+TRAINING = model.BoostingParams()
 
 
 def score_facts(scored: DataFrame, rounds_ok: bool) -> DataFrame:
@@ -599,8 +653,7 @@ def score_facts(scored: DataFrame, rounds_ok: bool) -> DataFrame:
     """
     scored = scored.withColumn("split", splits.split_label(SPEC))
     error = F.col("predicted") - F.col("target")
-    mean = scored.where(F.col("split") == SPEC.train.name).agg(F.avg("target")).first()[0]
-    constant = F.lit(mean) - F.col("target")
+    constant = scored.where(F.col("split") == SPEC.train.name).agg(F.avg("target")).scalar() - F.col("target")
     own, least = F.avg(error * error), F.avg(constant * constant)
     return scored.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"),

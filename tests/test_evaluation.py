@@ -145,27 +145,27 @@ def classify(spark, **changes):
         (
             dict(times_exceeded_500=25, spikes_same_weekday=3),
             "Repeated on particular days / recurrent spikes",
-            "Occurred 25 times >= 500 units in history; 3 times on this weekday.",
+            "recurrent (times_exceeded_500=25, spikes_same_weekday=3)",
         ),
         (
             dict(post_7d_mean=600.0),
             "Part of a sustained increase",
-            "Demand elevated both prior (mean=1.0) and post (mean=600.0).",
+            "sustained (prior_28d_mean=1.00, post_7d_mean=600.00)",
         ),
         (
             {},
             "Sudden and isolated",
-            "Spike is 500.0x prior 28d max (2.0) and 1000.0x post 7d mean (1.0).",
+            "above both sides (spike_vs_prior_max=500.00, prior_28d_max=2.00, spike_vs_post_mean=1000.00, post_7d_mean=1.00)",
         ),
         (
             dict(prior_28d_max=400.0, prior_28d_mean=50.0),
             "Sudden and isolated",
-            "Spike is 20.0x prior 28d mean (50.0) and demand drops immediately to 1.0.",
+            "gone at once (spike_vs_prior_mean=20.00, prior_28d_mean=50.00, post_7d_mean=1.00)",
         ),
         (
             dict(prior_28d_max=400.0, prior_28d_mean=200.0, post_7d_mean=250.0),
             "Sudden spike with elevated surrounding activity",
-            "Prior 28d max=400.0, post 7d max=3.0.",
+            "elevated (prior_28d_max=400.00, post_7d_max=3.00)",
         ),
     ],
 )
@@ -177,9 +177,8 @@ def test_classification_rules(spark, changes, label, evidence):
 def test_every_anomaly_flag(spark):
     row = classify(spark, target=4000.0, raw_price_base=0.01, raw_sum_total=-1.0, price_change=-0.75)
     assert row.evidence.endswith(
-        " | Potential data anomaly signals: Near-zero base price (0.01); "
-        "Non-positive transaction total (-1.00); Single isolated 1000+ spike across entire history; "
-        "Extreme price swing (-0.75)"
+        "); low price (raw_price_base=0.01); no revenue (raw_sum_total=-1.00); "
+        "only peak (times_exceeded_1000=1); price jump (price_change=-0.75)"
     )
 
 

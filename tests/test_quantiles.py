@@ -4,6 +4,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
+from demandloom.operators import quantiles
 from demandloom.operators.quantiles import exact_median, exact_quantiles
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -40,6 +43,30 @@ def test_groups_with_one_hot_group_and_nulls(spark, few_groups):
         assert value == pytest.approx(expected[key], rel=1e-12)
 
 
+@pytest.mark.parametrize("few_groups", [True, False])
+def test_a_narrow_range_is_opened_until_it_is_small(spark, few_groups):
+    """Half a million distinct values within 0.2: no bucket that is put in order holds more than FINEST."""
+    n = 500_000
+    df = spark.range(n, numPartitions=4).select((1000.0 + 0.2 * F.col("id") / n).alias("v"))
+    values = 1000.0 + 0.2 * np.arange(n) / n
+    found = as_dict(exact_quantiles(df, "v", PROBS, few_groups=few_groups), [])
+    for p in PROBS:
+        assert found[(p,)] == pytest.approx(np.quantile(values, p), rel=1e-14)
+    finest = df.select(quantiles._bucket(F.col("v")).alias("b")).groupBy("b").count().agg(F.max("count")).first()[0]
+    assert finest <= 2
+
+
+def test_neighbouring_doubles_fill_a_finest_bucket_at_most(spark):
+    """Consecutive doubles, the densest values there are."""
+    for start in (1.0, 1000.0, 3.7e-200, 1.9999):
+        x = start + np.spacing(start) * np.arange(300_000)
+        b = spark.createDataFrame(pd.DataFrame({"v": x})).select(quantiles._bucket(F.col("v")).alias("b"), "v")
+        assert b.groupBy("b").count().agg(F.max("count")).first()[0] <= quantiles.FINEST
+        assert b.groupBy("b").agg(F.min("v").alias("low"), F.max("v").alias("high")).selectExpr(
+            "low <= coalesce(lag(high) OVER (ORDER BY b), -1) AS overlaps"
+        ).where("overlaps").count() == 0
+
+
 def test_negative_zero_is_zero(spark):
     df = spark.createDataFrame([(-0.0,), (0.0,), (0.0,)], "v double")
     assert exact_median(df, "v", few_groups=True).collect()[0][0] == 0.0
