@@ -167,6 +167,8 @@ def boost(
         places = columns_of_round(groups, params.column_share, params.seed, number)
         sliced = VectorSlicer(inputCol="features", outputCol="used", indices=places).transform(left)
         sliced = sliced.withColumn("sampled", (F.col("fitted") == 1) & in_sample(params.row_share, params.seed, number))
+        # a fit reads its rows several times; what an executor loses is made again from the stored margins
+        sliced = sliced.select("used", "residual", "fitted", "sampled").persist()
         tree = DecisionTreeRegressor(
             featuresCol="used",
             labelCol="residual",
@@ -178,6 +180,7 @@ def boost(
             seed=params.seed + number,
         ).fit(sliced.where("sampled"))
         totals = _leaf_totals(tree.transform(sliced))
+        sliced.unpersist()
         values = [0.0] * tree._java_obj.numLeave()
         for r in totals:
             if r["fitted"] == 1:

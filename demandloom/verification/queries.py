@@ -640,8 +640,8 @@ def department_sales(t: Tables) -> DataFrame:
 # --- model --------------------------------------------------------------------------------
 
 
-# The operator's own settings: up to 200 rounds, ended 20 rounds after the best one.
-TRAINING = model.BoostingParams()
+# The operator's own settings, but for a patience of 5 rounds instead of 20: README gives the time of either.
+TRAINING = model.BoostingParams(patience=5)
 
 
 def score_facts(scored: DataFrame, rounds_ok: bool) -> DataFrame:

@@ -144,4 +144,5 @@ def test_every_model_column_is_one_group_of_places(fitted):
 
 
 def test_training_query_takes_the_operators_settings():
-    assert TRAINING == model.BoostingParams() and (TRAINING.rounds, TRAINING.patience) == (200, 20)
+    own = model.BoostingParams()
+    assert (own.rounds, own.patience) == (200, 20) and TRAINING == model.BoostingParams(patience=5)
