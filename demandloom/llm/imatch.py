@@ -5,8 +5,8 @@ subsets of it gives one part of the fingerprint: the sorted distinct terms of th
 are in the subset, hashed together. Subsets are small, of several sizes, so that some of them hold one
 or two terms of a short document and others of a long one. Likeness is the share of equal parts
 among those in which either document has a term; a part counts the less the more terms it depends on.
-Each term of the lexicon is in one subset at least. Documents without any such term are compared by
-their whole sets of terms.
+Each term of the lexicon is in one subset at least. The fingerprint of a document without any such term
+has a hash of its whole set of terms instead.
 
 Document frequencies are counted over all documents. The band is a share of the number of
 documents, so the lexicon has at most (distinct terms per document) / ``lowest_share`` terms however
@@ -39,6 +39,8 @@ LEAST_REPEATS = 256
 #: A part is the number of its terms, as one digit of these, and four characters of its hash.
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/"
 EMPTY = "0----"
+#: Parts that the hash of a whole set of terms fills: 96 bits.
+WHOLE_PARTS = 4
 
 
 def document_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,8 +86,12 @@ class Lexicon:
         self.member[out, np.minimum(home, PARTS - 1)] = True
 
     def fingerprints(self, texts: list[bytes]) -> list[str]:
-        """One string a text: the hashes of its parts, ``EMPTY`` where it has no term."""
-        doc, terms = document_terms(texts)
+        """One string a text: the hashes of its parts, ``EMPTY`` where it has no term.
+
+        The first parts of a text with terms, but none of the lexicon, hold a hash of all its terms,
+        marked as parts without a term.
+        """
+        doc, terms = all_docs, all_terms = document_terms(texts)
         out = np.full((len(texts), PARTS), EMPTY, dtype=object)
         if len(self.terms):
             place = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
@@ -99,17 +105,21 @@ class Lexicon:
                     for i, part in zip(of[starts].tolist(), np.split(held, starts[1:])):
                         digest = hashlib.blake2b(part.tobytes(), digest_size=3).digest()
                         out[i, j] = DIGITS[min(len(part), 63)] + base64.b64encode(digest).decode()
+        bounds = np.searchsorted(all_docs, np.arange(len(texts) + 1))
+        for i in np.flatnonzero((out == EMPTY).all(axis=1) & (np.diff(bounds) > 0)).tolist():
+            digest = hashlib.blake2b(all_terms[bounds[i] : bounds[i + 1]].tobytes(), digest_size=3 * WHOLE_PARTS).digest()
+            out[i, :WHOLE_PARTS] = ["0" + base64.b64encode(digest[3 * k : 3 * k + 3]).decode() for k in range(WHOLE_PARTS)]
         return ["".join(row) for row in out.tolist()]
 
 
 def likeness(a: str, b: str) -> float:
     """Weighted share of equal parts; equal fingerprints give 1.
 
-    A part weighs the inverse square of the larger number of its terms; parts empty in both weigh nothing.
+    A part weighs the inverse square of the larger number of its terms (63 at most); parts without a term in
+    both weigh nothing. Two different fingerprints without any term of the lexicon give 0.
     """
     if a == b:
         return 1.0
-    # one of the two has a part with a term, so the sum below is not zero
     width, same, total = len(EMPTY), 0.0, 0.0
     for i in range(0, len(a), width):
         most = max(DIGITS.index(a[i]), DIGITS.index(b[i]))
@@ -117,19 +127,7 @@ def likeness(a: str, b: str) -> float:
             total += _WEIGHTS[most]
             if a[i : i + width] == b[i : i + width]:
                 same += _WEIGHTS[most]
-    return same / total
-
-
-def text_likeness(a: str, b: str, text_a: bytes, text_b: bytes) -> float:
-    """``likeness`` of two texts' fingerprints.
-
-    Fingerprints without any term say nothing about their texts: those are alike, with 1, if they have
-    the same set of terms, else with 0.
-    """
-    if a == b == EMPTY * PARTS and text_a != text_b:
-        (_, one), (_, other) = document_terms([text_a]), document_terms([text_b])
-        return float(np.array_equal(one, other))
-    return likeness(a, b)
+    return same / total if total else 0.0
 
 
 _WEIGHTS = [0.0] + [1 / n**2 for n in range(1, 64)]
@@ -141,7 +139,7 @@ def build_lexicon(docs: DataFrame, lowest_share: float = 0.0005, highest_share:
     band = document_frequencies(docs).filter(
         F.col("df").between(lowest_share * count, max(highest_share * count, 1))
     )
-    return Lexicon(np.array([r["term"] for r in band.select("term").toLocalIterator()], dtype=np.int64))
+    return Lexicon(band.select("term").toArrow().column("term").to_numpy())
 
 
 def fingerprint_documents(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -297,8 +295,8 @@ def compare_with_edits(docs: DataFrame, lowest_share: float = 0.0005, highest_sh
         different = {t: None for _, t, n in rows for t in (t, n)}
         prints = dict(zip(different, lexicon.value.fingerprints(list(different))))
         before, after = [prints[t] for _, t, _ in rows], lexicon.value.fingerprints(edited)
-        near_edited = [text_likeness(f, g, t, e) for (_, t, _), e, f, g in zip(rows, edited, before, after)]
-        near_next = [0.0 if d is None else text_likeness(f, prints[n], t, n) for (d, t, n), f in zip(rows, before)]
+        near_edited = [likeness(f, g) for f, g in zip(before, after)]
+        near_next = [0.0 if d is None else likeness(f, prints[n]) for (d, _, n), f in zip(rows, before)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([d for d, _, _ in rows], pa.int64()),

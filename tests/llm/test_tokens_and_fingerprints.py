@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -123,12 +124,58 @@ def test_texts_without_a_term_of_the_lexicon_are_compared_by_terms(make_docs):
     rows += [(200 + i, ("alpha beta ", "gamma delta ")[i % 2] + f"rare{i}") for i in range(30)]
     docs = make_docs(rows)
     got = {r["doc_id"]: r for r in imatch.compare_with_edits(docs).collect()}
-    assert {got[i]["fingerprint"] for i in (29, 100, 101, 102)} == {imatch.EMPTY * imatch.PARTS}
+    prints = [got[i]["fingerprint"] for i in (29, 100, 101, 102)]
+    assert len(set(prints)) == 3 and prints[2] == prints[3]
+    assert all(p.endswith(imatch.EMPTY * (imatch.PARTS - imatch.WHOLE_PARTS)) and p[0] == "0" for p in prints)
+    # likeness follows from the fingerprints alone
+    for r in got.values():
+        assert r["near_edited"] == imatch.likeness(r["fingerprint"], r["edited_fingerprint"])
     assert got[0]["near_next"] == 1.0
     assert got[29]["near_next"] == got[100]["near_next"] == 0.0
     assert got[101]["near_next"] == 1.0
 
 
+def test_fingerprints_equal_plain_python(spark):
+    """Terms, parts and weights once more, word by word, on whole texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.select("doc_id", "text").collect()}
+    lexicon = imatch.build_lexicon(docs)
+    place = {int(t): i for i, t in enumerate(lexicon.terms)}
+
+    def terms_of(text):
+        words = {w.lower() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", text)}
+        data = b" ".join(sorted(words))
+        return {int(imatch.document_terms([w])[1][0]) for w in words} if data else set()
+
+    def plain_print(text):
+        terms = sorted(terms_of(text))
+        parts = []
+        for j in range(imatch.PARTS):
+            own = [t for t in terms if t in place and lexicon.member[place[t], j]]
+            digest = hashlib.blake2b(b"".join(t.to_bytes(8, "little") for t in own), digest_size=3).digest()
+            parts.append(imatch.DIGITS[min(len(own), 63)] + base64.b64encode(digest).decode() if own else imatch.EMPTY)
+        if terms and set(parts) == {imatch.EMPTY}:
+            whole = hashlib.blake2b(b"".join(t.to_bytes(8, "little") for t in terms), digest_size=12).digest()
+            parts[:4] = ["0" + base64.b64encode(whole[k : k + 3]).decode() for k in (0, 3, 6, 9)]
+        return parts
+
+    def plain_likeness(a, b):
+        if a == b:
+            return 1.0
+        counts = [max(imatch.DIGITS.index(x[0]), imatch.DIGITS.index(y[0])) for x, y in zip(a, b)]
+        total = sum(1 / n**2 for n in counts if n)
+        return sum(1 / n**2 for n, x, y in zip(counts, a, b) if n and x == y) / total if total else 0.0
+
+    order = sorted(texts)
+    for r in imatch.compare_with_edits(docs).collect():
+        own, after = plain_print(texts[r["doc_id"]]), texts[order[(order.index(r["doc_id"]) + 1) % len(order)]]
+        assert r["fingerprint"] == "".join(own)
+        edited = imatch.edited_text(texts[r["doc_id"]].decode(), after.decode()).encode()
+        assert r["edited_fingerprint"] == "".join(plain_print(edited))
+        assert r["near_next"] == pytest.approx(plain_likeness(own, plain_print(after)))
+        assert r["near_edited"] == pytest.approx(plain_likeness(own, plain_print(edited)))
+
+
 def test_rows_of_a_repeated_id_are_spread_and_find_the_next_text(spark, make_docs, monkeypatch):
     monkeypatch.setattr(imatch, "LEAST_REPEATS", 20)
     rows = [(5, f"word{i % 90} other text {i % 7}") for i in range(300)] + [(9, f"last {i} of all texts") for i in range(200)]
