@@ -95,11 +95,13 @@ def mix_sources(
     weights: tuple[int, ...] = (1, 2, 3),
     max_repeats: int = 3,
     seed: str = "mix",
+    carried: dict[str, Column] | None = None,
 ) -> DataFrame:
     """How much of each document the mix takes.
 
-    Returns one row a row of ``docs``: ``doc_id, size, source_size, target, taken, repeats``
-    and ``finish``, the virtual time of the first reading (NULL for empty documents).
+    Returns one row a row of ``docs``: ``doc_id, size, source_size, target, taken, repeats``,
+    ``finish``, the virtual time of the first reading (NULL for empty documents), ``sent``, the words of
+    the source up to the row, ``turn``, the place of its source, and the ``carried`` columns of the row.
     Documents without words take no part (``taken`` 0); so do all where nothing has words. A
     NULL source is a source; a NULL ``doc_id`` is shuffled as an empty one. Repeated rows are
     rows of their own. Extra columns are ignored. No row is taken more than ``max_repeats`` times.
@@ -108,7 +110,11 @@ def mix_sources(
     # written with its number, so that rows with a NULL id keep their place among equals
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int").alias("spread")
     sized = scratch.keep(
-        "sized", docs.select("doc_id", "source", word_count().alias("size"), shuffle_key(seed=seed).alias("key"), spread)
+        "sized",
+        docs.select(
+            "doc_id", "source", word_count().alias("size"), shuffle_key(seed=seed).alias("key"), spread,
+            *[column.alias(name) for name, column in (carried or {}).items()],
+        ),
     )
     rows = sized.count()
     digits = max(2, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS + 1, 16)))
@@ -130,7 +136,7 @@ def mix_sources(
     )
     within = (
         Window.partitionBy("s.source", "s.bucket")
-        .orderBy("key", "doc_id", "size")
+        .orderBy("key", "doc_id", "size", *(carried or {}))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     placed = scratch.keep(
@@ -141,7 +147,7 @@ def mix_sources(
             F.col("s.source").eqNullSafe(F.col("o.source")) & (F.col("s.bucket") == F.col("o.bucket")),
         )
         .withColumn("sent", F.col("offset") + F.sum("size").over(within))
-        .select("doc_id", "size", "turn", "source_size", "target", "sent"),
+        .select("doc_id", "size", "turn", "source_size", "target", "sent", *(carried or {})),
     )
     scratch.drop("sized")
     end = _cut(placed, max_repeats, rows)
@@ -161,6 +167,9 @@ def mix_sources(
         (F.col("size") * repeats).cast("long").alias("taken"),
         repeats.cast("int").alias("repeats"),
         F.when((F.col("size") > 0) & (F.col("target") > 0), finish(0)).alias("finish"),
+        "sent",
+        "turn",
+        *(carried or {}),
     )
 
 
@@ -201,31 +210,30 @@ def _cut(placed: DataFrame, max_repeats: int, rows: int) -> tuple[float, int] |
 
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """The mix itself: documents as often as they are taken, in the order of finish times.
+    """The mix itself: documents as often as they are taken, each reading at its finish time.
 
-    Returns the columns of ``docs``. Documents that are not taken are left out. Rows that repeat
-    a ``doc_id`` and a size share what is taken of them, in a fixed order. Texts move twice: to meet what
-    is taken of them, and to their place in the mix.
+    Returns the columns of ``docs`` (none of them a map), range-partitioned and sorted in the order of a fair queue over
+    the sources; equal times go by source. Documents that are not taken are left out. A row is found again by its id and two
+    hashes of all its columns, so rows that agree in all columns stand for each other and any number of rows may lack an
+    id. Texts move twice: to meet what is taken of them, and to their place in the mix.
     """
     columns = docs.columns
-    key = ["__id", "__size"]
-    # a text for NULL ids too, so that the window below finds the rows where the join put them
+    key = ["__id", "__first", "__second"]
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    whole = docs.select(name.alias("__id"), word_count().alias("__size"), F.struct(*columns).alias("__row"))
+    marks = dict(zip(key, (name, F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))))
+    # rows that agree in everything are met once, and given out as often as all of them are taken
+    whole = docs.select(*[c.alias(k) for k, c in marks.items()], F.struct(*columns).alias("__row"))
+    once = whole.groupBy(*key).agg(F.first("__row").alias("__row"))
     taken = (
-        mix_sources(docs, **parameters)
+        mix_sources(docs, **parameters, carried=marks)
         .filter(F.col("repeats") > 0)
-        .groupBy(name.alias("__id"), F.col("size").alias("__size"))
-        .agg(F.array_sort(F.collect_list(F.struct("finish", "repeats"))).alias("__taken"))
+        .select(*key, "sent", "source_size", "target", "turn", F.explode(F.sequence(F.lit(0), F.col("repeats") - 1)).alias("pass"))
     )
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("__row")))
+    finish = (F.col("sent") + F.col("source_size") * F.col("pass")) / F.col("target")
     return (
-        whole.join(taken, key)
-        .withColumn("__own", F.get("__taken", place - 1))
-        .filter("__own IS NOT NULL")
-        .withColumn("__pass", F.explode(F.sequence(F.lit(1), F.col("__own.repeats"))))
-        .select("__row", "__pass", F.col("__own.finish").alias("__finish"))
-        .repartitionByRange("__pass", "__finish")
-        .sortWithinPartitions("__pass", "__finish")
+        taken.join(once, key)
+        .select("__row", finish.alias("__finish"), F.col("turn").alias("__turn"))
+        .repartitionByRange("__finish", "__turn")
+        .sortWithinPartitions("__finish", "__turn")
         .select("__row.*")
     )

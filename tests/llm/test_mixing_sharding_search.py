@@ -1,3 +1,4 @@
+import heapq
 import zlib
 
 import numpy as np
@@ -91,6 +92,50 @@ def test_mixed_documents_repeat_rows(make_docs, odd_docs):
     assert mixing.mixed_documents(odd_docs).count() == odd
 
 
+def fair_queue(docs, **parameters):
+    """Ids in the order of a heap-based weighted fair queue, from shuffled sources and their targets."""
+    sources = {}
+    for r in mixing.mix_sources(docs, **parameters).filter("size > 0 AND target > 0").collect():
+        sources.setdefault(r["turn"], []).append(r)
+    heap, queues = [], {}
+    for turn, rows in sources.items():
+        rows.sort(key=lambda r: r["sent"])
+        queues[turn] = [((r["sent"] + r["source_size"] * e) / r["target"], r) for e in range(3) for r in rows]
+        heapq.heappush(heap, (queues[turn][0][0], turn, 0))
+    budget = sum(r["size"] for rows in sources.values() for r in rows)
+    out = []
+    while heap:
+        finish, turn, at = heapq.heappop(heap)
+        row = queues[turn][at][1]
+        if row["size"] > budget:
+            break
+        budget -= row["size"]
+        out.append(row["doc_id"])
+        if at + 1 < len(queues[turn]):
+            heapq.heappush(heap, (queues[turn][at + 1][0], turn, at + 1))
+    return out
+
+
+def test_mixed_documents_come_in_the_order_of_a_fair_queue(make_docs):
+    sizes = {"a": (600, 30), "b": (30, 5), "c": (250, 12), None: (20, 1)}
+    rows = [(i, "w " * (size + i % 3), source) for source, (n, size) in sizes.items() for i in range(n)]
+    rows = [(k, *r[1:]) for k, r in enumerate(rows)]
+    docs = make_docs(rows)
+    found = [r["doc_id"] for r in mixing.mixed_documents(docs).collect()]
+    assert found == fair_queue(docs) and len(found) > 900 and len(set(found)) < len(found)
+
+
+def test_rows_without_ids_and_equal_rows_are_given_out_as_taken(make_docs):
+    docs = make_docs([(None, f"w{i} " * 4, "a") for i in range(300)] + [(None, "same text", "b")] * 40 + [(7, "x y z", "c")] * 3)
+    # which of the equally large rows without an id are taken is open, how many of a source is not
+    mixed = {r["source"]: r["count"] for r in mixing.mixed_documents(docs).groupBy("source").count().collect()}
+    marks = {"of": F.col("source")}
+    taken = mixing.mix_sources(docs, carried=marks).groupBy("of").agg(F.sum("repeats").alias("n")).collect()
+    assert mixed == {r["of"]: r["n"] for r in taken}
+    texts = mixing.mixed_documents(docs).groupBy("text").count().collect()
+    assert all(r["count"] <= 3 for r in texts if r["text"].startswith("w")) and max(r["count"] for r in texts) > 40
+
+
 def test_mixing_and_sharding_run_no_python(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for df in (mixing.mix_sources(docs), mixing.mixed_documents(docs), sharding.shard_documents(docs)):
@@ -131,6 +176,21 @@ def test_a_group_larger_than_a_shard_is_split(make_docs):
     assert len(of_text[zlib.crc32(b"the same text")]) > 1
 
 
+@pytest.mark.parametrize("shards", [8, 24])
+def test_repeated_rows_are_cut_between_shards(make_docs, shards):
+    """Thousands of rows that agree in id and text, and thousands without an id."""
+    rows = [(5, "one text for all of them")] * 3000 + [(None, "no id at all")] * 3000 + [(100 + i, f"text {i} " * 2) for i in range(3000)]
+    out = sharding.shard_documents(make_docs(rows), shards, 0.01).collect()
+    sizes, slots = {}, {}
+    for r in out:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    fair = sum(sizes.values()) / shards
+    assert len(out) == 9000 and len(sizes) == shards
+    assert all(abs(s - fair) <= 0.02 * fair + 50 for s in sizes.values()), sizes
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def test_shards_of_odd_rows(odd_docs, make_docs):
     out = sharding.shard_documents(odd_docs).collect()
     assert len(out) == 11
