@@ -8,12 +8,15 @@ that is asked for. Phrases are listed by extending intervals, words to the right
 and longer phrases to the left in the other, with the matching interval of the other direction kept
 up to date. Counts are summed across shards, which also sums what extends a phrase on each side.
 
-No dictionary is broadcast and nothing reaches the driver: shards, dictionary and phrases are tables.
+Lengths are listed one after the other, since a frequent phrase holds frequent shorter ones only. Those of
+the length before are sent out as a bitmap of fixed size that may let a few others through; exact sums
+decide. Shards, dictionary and phrases are tables: none is broadcast or brought to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -26,7 +29,9 @@ from demandloom.llm import textbytes as tb
 from demandloom.llm.scratch import Scratch
 
 #: Words of a shard; a longer text is a shard of its own.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
+#: Bits of the map of frequent phrases that is sent to all tasks: 8 MB for any corpus.
+MAP_BITS = 1 << 26
 #: Candidates of one language that are ranked in one task, before the best of each are ranked together.
 RANK_PARTS = 64
 
@@ -146,10 +151,18 @@ class FmIndex:
 
     def __init__(self, sequence: np.ndarray, symbols: int, depth: int) -> None:
         # what comes before the first symbol, in either direction, is a gap
-        sequence = np.concatenate(([0], sequence, [0])).astype(np.int64)
-        self.size, self.symbols, self.depth = len(sequence), symbols, depth
-        self.before, self.before_keys = self._transform(sequence)
-        self.after, self.after_keys = self._transform(sequence[::-1])
+        self.sequence = np.concatenate(([0], sequence, [0])).astype(np.int64)
+        self.size, self.symbols, self.depth = len(self.sequence), symbols, depth
+
+    @cached_property
+    def before(self) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol before each context, and the keys of that transform."""
+        return self._transform(self.sequence)
+
+    @cached_property
+    def after(self) -> tuple[np.ndarray, np.ndarray]:
+        """The same of the reversed sequence: the symbol behind each context."""
+        return self._transform(self.sequence[::-1])
 
     def _transform(self, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(sequence)
@@ -167,17 +180,15 @@ class FmIndex:
         return transform, np.sort(transform * n + np.arange(n))
 
     def words(self) -> "Intervals":
-        """The interval of every symbol but the gap."""
-        symbol = np.arange(1, self.symbols + 1)
-        low = np.searchsorted(self.before_keys, symbol * self.size)
-        high = np.searchsorted(self.before_keys, (symbol + 1) * self.size)
-        # rows that start with a symbol: as many in either transform, in the same place
-        found = high > low
-        return Intervals(symbol[found][:, None], low[found], low[found], (high - low)[found])
+        """The interval of every symbol but the gap: the same rows in either transform."""
+        count = np.bincount(self.sequence, minlength=self.symbols + 1)
+        low = np.cumsum(count) - count
+        symbol = np.flatnonzero(count[1:]) + 1
+        return Intervals(symbol[:, None], low[symbol], low[symbol], count[symbol])
 
     def extend(self, at: "Intervals", left: bool) -> "Intervals":
         """All one-symbol extensions of the phrases, on the left or on the right."""
-        transform, keys = (self.before, self.before_keys) if left else (self.after, self.after_keys)
+        transform, keys = self.before if left else self.after
         own, other = (at.low, at.low_reverse) if left else (at.low_reverse, at.low)
         phrase = np.repeat(np.arange(len(own)), at.count)
         within = np.arange(len(phrase)) - np.repeat(np.cumsum(at.count) - at.count, at.count)
@@ -207,30 +218,70 @@ class Intervals(NamedTuple):
     count: np.ndarray
 
 
-def list_phrases(sequence: np.ndarray, symbols: int, longest: int) -> Iterator[Intervals]:
-    """Phrases of 2 to ``longest`` words of a sequence with their counts, one length at a time.
+class PhraseMap(NamedTuple):
+    """A bitmap of phrases of one length: it never misses one, and may take others for one."""
+
+    bits: np.ndarray
+
+    @staticmethod
+    def places(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Two bits of each phrase, given the words of all phrases by place."""
+        code = np.zeros(len(ids[0]), dtype=np.uint64)
+        for column in ids:
+            code = tb.mix(code * np.uint64(31) + column.astype(np.uint64) + np.uint64(1))
+        return code % np.uint64(MAP_BITS), (code >> np.uint64(32)) % np.uint64(MAP_BITS)
+
+    def holds(self, ids: list[np.ndarray]) -> np.ndarray:
+        found = np.ones(len(ids[0]), dtype=bool)
+        for at in self.places(ids):
+            found &= (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+        return found
+
+
+def phrase_map(phrases: DataFrame, length: int) -> PhraseMap:
+    """The map of all rows; tasks set bits, and at most ``MAP_BITS / 64`` words of bits reach the driver."""
+    names = _ids(length)
 
-    Words are extended to the right, phrases of two and more to the left.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(PhraseMap.places([batch.column(c).to_numpy() for c in names]))
+            word, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bits"])
+
+    found = phrases.select(*names).mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(MAP_BITS >> 6, dtype=np.uint64)
+    bits[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return PhraseMap(bits)
+
+
+def list_phrases(sequence: np.ndarray, ids: np.ndarray, length: int, maps: dict[int, PhraseMap]) -> Intervals:
+    """Phrases of ``length`` words of a sequence with their counts, whose parts are in ``maps``, by length.
+
+    Symbol k stands for word ``ids[k - 1]``. Words are extended to the right, longer phrases to the left.
     """
-    if not len(sequence) or not symbols:
-        return
-    index = FmIndex(sequence, symbols, longest)
+    index = FmIndex(sequence, len(ids), length)
     at = index.words()
-    for length in range(2, longest + 1):
-        at = index.extend(at, left=length > 2)
-        yield at
+    for size in range(2, length + 1):
+        at = index.extend(at, left=size > 2)
+        known = np.ones(len(at.count), dtype=bool)
+        columns = [ids[at.phrases[:, k] - 1] for k in range(size)]
+        if size in maps:
+            known = maps[size].holds(columns)
+        elif size - 1 in maps:  # the part on the right has been looked up already
+            known = maps[size - 1].holds(columns[:-1])
+        at = Intervals(*[x[known] for x in at])
+    return at
 
 
 def _ids(longest: int) -> list[str]:
     return [f"w{i}" for i in range(longest)]
 
 
-def shard_phrases(shards: DataFrame, longest: int) -> DataFrame:
-    """``w0 … , n``: phrases of each shard by global word ids, -1 behind the last word.
+INDEXED = "sequence binary, ids binary"
 
-    ``shards`` has the sequence and ``ids``, pairs of local and global id of the words to keep.
-    """
-    schema = ", ".join(f"{c} long" for c in [*_ids(longest), "n"])
+
+def known_words(shards: DataFrame) -> DataFrame:
+    """``INDEXED``: sequences of symbols from 1 for the words in ``ids``, pairs of local and global id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,26 +289,40 @@ def shard_phrases(shards: DataFrame, longest: int) -> DataFrame:
                 sequence = np.frombuffer(batch.column("sequence")[i].as_buffer(), dtype="<i4")
                 pairs = batch.column("ids")[i].values
                 local = pairs.field("local").to_numpy(zero_copy_only=False)
-                known = pairs.field("id").to_numpy(zero_copy_only=False)
-                dense = np.zeros(max(int(sequence.max(initial=0)), int(local.max(initial=0))) + 1, dtype=np.int32)
+                ids = pairs.field("id").to_numpy(zero_copy_only=False).astype("<i8")
+                dense = np.zeros(max(int(sequence.max(initial=0)), int(local.max(initial=0))) + 1, dtype="<i4")
                 dense[local] = np.arange(1, len(local) + 1)
                 compact = dense[sequence]
                 # one gap says as much as many
-                compact = compact[~((compact == 0) & np.concatenate(([False], compact[:-1] == 0)))]
-                for found in list_phrases(compact, len(local), longest):
-                    length = found.phrases.shape[1]
-                    columns = [pa.array(known[found.phrases[:, k] - 1]) for k in range(length)]
-                    columns += [pa.array(np.full(len(found.count), -1))] * (longest - length)
-                    columns.append(pa.array(found.count.astype(np.int64)))
-                    whole = pa.RecordBatch.from_arrays(columns, [*_ids(longest), "n"])
-                    for a in range(0, whole.num_rows, 65_536):
-                        yield whole.slice(a, 65_536)
+                compact = compact[~((compact == 0) & np.concatenate(([True], compact[:-1] == 0)))]
+                columns = [pa.array([x.tobytes()], pa.binary()) for x in (compact, ids)]
+                yield pa.RecordBatch.from_arrays(columns, ["sequence", "ids"])
 
-    return shards.select("sequence", "ids").mapInArrow(run, schema)
+    return shards.select("sequence", "ids").mapInArrow(run, INDEXED)
 
 
-def count_phrases(docs: DataFrame, scratch: Scratch, longest: int, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(lang, n)``, frequent words ``(id, lang, word, n)`` and frequent phrases ``(w0 …, n)``."""
+def shard_phrases(indexed: DataFrame, length: int, maps: dict[int, PhraseMap]) -> DataFrame:
+    """``w0 … , n``: phrases of ``length`` words of each shard, by global word ids."""
+    names = _ids(length)
+    shipped = indexed.sparkSession.sparkContext.broadcast(maps)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                sequence = np.frombuffer(batch.column("sequence")[i].as_buffer(), dtype="<i4")
+                ids = np.frombuffer(batch.column("ids")[i].as_buffer(), dtype="<i8")
+                found = list_phrases(sequence, ids, length, shipped.value)
+                for a in range(0, len(found.count), 65_536):
+                    part = found.phrases[a : a + 65_536]
+                    columns = [pa.array(ids[part[:, k] - 1]) for k in range(length)]
+                    columns.append(pa.array(found.count[a : a + 65_536].astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays(columns, [*names, "n"])
+
+    return indexed.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
+
+
+def count_phrases(docs: DataFrame, scratch: Scratch, longest: int, least: int) -> tuple[DataFrame, DataFrame, dict[int, DataFrame]]:
+    """``(lang, n)``, frequent words ``(id, lang, word, n)`` and, by length, frequent phrases ``(w0 …, n)``."""
     shards = scratch.keep("shards", cut_shards(docs))
     words = shard_words(shards)
     totals = scratch.keep("words", words.groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -269,9 +334,16 @@ def count_phrases(docs: DataFrame, scratch: Scratch, longest: int, least: int) -
         .groupBy("shard")
         .agg(F.collect_list(F.struct("local", "id")).alias("ids"))
     )
-    listed = shard_phrases(shards.select("shard", "sequence").join(ids, "shard"), longest)
-    phrases = listed.groupBy(*_ids(longest)).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return sizes, frequent, scratch.keep("phrases", phrases)
+    indexed = scratch.keep("indexed", known_words(shards.select("shard", "sequence").join(ids, "shard")))
+    scratch.drop("shards")
+    phrases: dict[int, DataFrame] = {}
+    maps: dict[int, PhraseMap] = {}
+    for length in range(2, longest + 1):
+        listed = shard_phrases(indexed, length, maps).groupBy(*_ids(length)).agg(F.sum("n").alias("n"))
+        phrases[length] = scratch.keep(f"phrases-{length}", listed.filter(F.col("n") >= least))
+        if length < longest:
+            maps[length] = phrase_map(phrases[length], length)
+    return sizes, frequent, phrases
 
 
 def lowest_cut(scale: int = 1_000_000) -> Column:
@@ -296,7 +368,7 @@ def lowest_cut(scale: int = 1_000_000) -> Column:
     )
 
 
-def with_parts(frequent: DataFrame, phrases: DataFrame, scratch: Scratch, longest: int) -> list[DataFrame]:
+def with_parts(frequent: DataFrame, phrases: dict[int, DataFrame], scratch: Scratch, longest: int) -> list[DataFrame]:
     """For each length from 1, the phrases with ``lang, words, a, firsts, rests``.
 
     A phrase gets the counts of its parts from the two phrases that lack its last and its first
@@ -313,11 +385,8 @@ def with_parts(frequent: DataFrame, phrases: DataFrame, scratch: Scratch, longes
         back = shorter.select(
             *[F.col(a).alias(b) for a, b in zip(ids, ids[1:length])], F.element_at("words", -1).alias("last"), F.col("a").alias("back"), "rests"
         )
-        own = phrases.filter(F.col(ids[length - 1]) >= 0)
-        if length < longest:
-            own = own.filter(F.col(ids[length]) < 0)
         level = (
-            own.join(front, ids[: length - 1])
+            phrases[length].join(front, ids[: length - 1])
             .join(back, ids[1:length])
             .select(
                 *ids[:length],
