@@ -21,7 +21,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    Rows that repeat an id stay or go together, so copies under one id stay; so do rows with a NULL id. NULL
+    and empty texts are in no group.
+    """
     dropped = minhash.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
@@ -36,12 +40,15 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in the order of the mix."""
+    """Documents as often as the mix takes them, in the order of the mix.
+
+    Texts without words, NULL ones too, are not taken. Rows with a NULL id are rows like others.
+    """
     return mixing.mixed_documents(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each document."""
+    """Token counts and digests of each document; a NULL text has those of an empty one."""
     return bpe.token_digests(docs, queries.public_tokenizer())
 
 
