@@ -4,8 +4,9 @@ A document is the set of its lower-case words and of their first letters. The fe
 that a screening of the training sample finds to differ between the classes, and those of identity
 terms; a logistic regression on them is fitted by Newton steps. Each labelled text that mentions an
 identity term is paired with copies in which the terms are swapped for others of their kind and for
-neutral words. The squared change of the score over these pairs is part of the loss: what a
-mention adds by itself costs, so neutral mentions of groups are not flagged.
+neutral words. A text that mentions none is paired with copies that mention one more, each of all terms in
+turn, so every term is in pairs whatever the corpus says. The squared change of the score over these pairs is
+part of the loss: what a mention adds by itself costs, so neutral mentions of groups are not flagged.
 
 The fit is on a bounded sample of labelled rows; scoring reads every text once.
 """
@@ -30,6 +31,9 @@ IDENTITY_TERMS = {
     "person": ("person", "woman", "man", "girl", "boy", "immigrant", "refugee", "foreigner"),
     "faith": ("religious", "christian", "muslim", "jewish", "hindu", "buddhist", "catholic", "atheist"),
     "origin": ("local", "african", "asian", "european", "american", "arab", "mexican", "chinese", "indian", "turkish"),
+    "leute": ("leute", "frauen", "männer", "mädchen", "schwule", "lesben", "muslime", "juden", "christen", "ausländer", "flüchtlinge", "türken"),
+    "gens": ("gens", "femmes", "hommes", "filles", "garçons", "homosexuels", "lesbiennes", "musulmans", "juifs", "chrétiens", "étrangers", "réfugiés", "arabes"),
+    "gente": ("gente", "mujeres", "hombres", "niñas", "homosexuales", "lesbianas", "musulmanes", "judíos", "cristianos", "extranjeros", "refugiados", "gitanos"),
     "trait": ("other", "black", "white", "gay", "straight", "lesbian", "transgender", "disabled", "deaf", "blind", "old", "young"),
 }
 
@@ -55,6 +59,23 @@ def swapped(text: str, shift: int) -> str | None:
     return _MENTION.sub(other, text) if _MENTION.search(text) else None
 
 
+#: All terms but the neutral ones, as they are put into texts that have none.
+TERMS = tuple(t for terms in IDENTITY_TERMS.values() for t in terms[1:])
+#: Copies of a text without a mention, each with a term of its own.
+MENTIONS = 2
+
+
+def with_mentions(text: str, number: int) -> list[str]:
+    """Copies of a text that say one identity term more, at a word boundary; ``number`` chooses terms and places."""
+    words = text.split(" ")
+    out = []
+    for k in range(MENTIONS):
+        place = (number * 7919 + k) % (len(words) + 1)
+        term = TERMS[(number * MENTIONS + k) % len(TERMS)]
+        out.append(" ".join([*words[:place], term, *words[place:]]))
+    return out
+
+
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Text number and 64-bit hash of each feature occurrence, repeats included."""
     words = tb.find_words(texts, tb.NOT_TERM)
@@ -99,11 +120,48 @@ class Model(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
 
+SAMPLE = "pair long, label int, features array<long>, gone array<long>"
+
+
+def sample_batch(ids: list[int], labels: list[int], texts: list[bytes]) -> pa.RecordBatch:
+    """``SAMPLE`` rows of labelled texts and of their copies.
+
+    A text has its label and its features. A copy has the label NULL, the features that it has and its original
+    lacks, and those that are ``gone``.
+    """
+    of, copies = [], []
+    for i, text in enumerate(texts):
+        plain = text.decode("utf-8", "replace")
+        own = [c for c in (swapped(plain, shift) for shift in (0, 1, 3)) if c is not None]
+        for copy in own or with_mentions(plain, ids[i]):
+            of.append(i)
+            copies.append(copy.encode())
+    found = _distinct(*features(texts + copies), len(texts) + len(copies))
+    base, made = found[: len(texts)], found[len(texts) :]
+    held = base + [np.setdiff1d(c, base[i], assume_unique=True) for i, c in zip(of, made)]
+    gone = [np.zeros(0, np.uint64)] * len(texts) + [np.setdiff1d(base[i], c, assume_unique=True) for i, c in zip(of, made)]
+
+    def lists(parts: list[np.ndarray]) -> pa.ListArray:
+        sizes = np.cumsum([0] + [len(x) for x in parts])
+        values = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64()))
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(ids + [ids[i] for i in of], pa.int64()),
+            pa.array(labels + [None] * len(of), pa.int32()),
+            lists(held),
+            lists(gone),
+        ],
+        ["pair", "label", "features", "gone"],
+    )
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: tuple[int, int]) -> pa.Table:
-    """``label`` and distinct ``features`` of a sample of labelled texts, with swapped copies.
+    """``SAMPLE`` rows of a sample of labelled texts and their copies.
 
     At most ``rows_per_class`` labelled rows of class 0 and of class 1, the first by a hash of the
-    id. A copy has the label NULL and follows its original by ``pair``.
+    id. Terms are dealt to texts without a mention by their ids.
     """
     ranked = labels.withColumn("__rank", F.xxhash64("doc_id"))
     chosen = None
@@ -115,30 +173,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows_per_class: tuple[in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in tb.slices(batches):
-            ids, marks = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
-            pairs, out = list(ids), list(texts)
-            for i, text in enumerate(texts):
-                plain = text.decode("utf-8", "replace")
-                for shift in (0, 1, 3):
-                    copy = swapped(plain, shift)
-                    if copy is not None:
-                        pairs.append(ids[i])
-                        marks.append(None)
-                        out.append(copy.encode())
-            found = _distinct(*features(out), len(out))
-            sizes = np.cumsum([0] + [len(x) for x in found])
-            lists = pa.ListArray.from_arrays(
-                pa.array(sizes, pa.int32()), pa.array(np.concatenate(found).astype(np.int64) if found else [], pa.int64())
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs, pa.int64()), pa.array(marks, pa.int32()), lists], ["pair", "label", "features"]
-            )
-
-    return (
-        rows.select("doc_id", "text", F.col("label").cast("int").alias("label"))
-        .mapInArrow(run, "pair long, label int, features array<long>")
-        .toArrow()
-    )
+            yield sample_batch(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts)
+
+    return rows.select("doc_id", "text", F.col("label").cast("int").alias("label")).mapInArrow(run, SAMPLE).toArrow()
 
 
 def fit(
@@ -155,18 +192,25 @@ def fit(
     frequency, ``least_z`` or more, and those of identity terms. With one class only, or no rows, the
     score is the smoothed share of class 1 everywhere.
     """
-    sample = sample.sort_by([("pair", "ascending")])
+    order = np.argsort(sample.column("pair").to_numpy(), kind="stable")  # sums come in one order
     marks = np.array([-1 if x is None else x for x in sample.column("label").to_pylist()], dtype=int)
-    pairs = sample.column("pair").to_numpy()
-    lists = sample.column("features").combine_chunks()
-    flat = lists.flatten().to_numpy().astype(np.uint64)
-    lengths = np.diff(lists.offsets.to_numpy())
-    owner = np.repeat(np.arange(len(marks)), lengths)
     known = marks >= 0
     counts = np.bincount(marks[known], minlength=2) if known.any() else np.zeros(2, int)
     if counts.min() == 0:
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log((counts[1] + 1) / (counts[0] + 1))))
 
+    def lists(column: str) -> tuple[np.ndarray, np.ndarray]:
+        """All features of a column, and the row of each."""
+        held = sample.column(column).combine_chunks()
+        sizes = np.diff(held.offsets.to_numpy())
+        return held.flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(marks), dtype=np.int32), sizes)
+
+    every, rows_of = lists("features")
+    gone, gone_of = lists("gone")
+    labelled = known[rows_of]
+    added, added_of = every[~labelled], rows_of[~labelled]
+    flat, owner = every[labelled], rows_of[labelled]
+    del every, rows_of, labelled
     values, inverse = np.unique(flat, return_inverse=True)
     of = marks[owner]
     df1 = np.bincount(inverse[of == 1], minlength=len(values))
@@ -176,25 +220,31 @@ def fit(
     z = np.abs(p1 - p0) / spread
     best = np.argsort(-z, kind="stable")[:most_features]
     # Neutral words get no weight of their own: they are what mentions are pulled towards.
-    terms = [t.encode() for kind in IDENTITY_TERMS.values() for t in kind[1:]]
-    _, own = features(terms)
-    keys = np.union1d(values[best[z[best] >= least_z]], np.intersect1d(own, values))
+    _, own = features([t.encode() for t in TERMS])
+    keys = np.union1d(values[best[z[best] >= least_z]], own[np.isin(own, added) | np.isin(own, values)])
     if not len(keys):
         return Model(keys, np.zeros(0), float(np.log((counts[1] + 1) / (counts[0] + 1))))
 
-    place = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
-    hit = keys[place] == flat
-    x = np.zeros((len(marks), len(keys) + 1), dtype=np.float32)
-    x[owner[hit], place[hit]] = 1
-    x[:, -1] = 1
-    rows, y = x[known], marks[known].astype(float)
-    # the swapped copies against their originals
-    originals = {p: i for i, p in enumerate(pairs) if known[i]}
-    copies = np.flatnonzero(~known)
+    def fill(chosen: np.ndarray, hashes: np.ndarray, of: np.ndarray, sign: float, out: np.ndarray) -> None:
+        """Set the features of the chosen rows of the sample in the rows of ``out``."""
+        number = np.full(len(marks), -1)
+        number[chosen] = np.arange(len(chosen))
+        place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        hit = (keys[place] == hashes) & (number[of] >= 0)
+        out[number[of[hit]], place[hit]] = sign
+
+    originals, copies = order[known[order]], order[~known[order]]
+    rows = np.zeros((len(originals), len(keys) + 1), dtype=np.float32)
+    rows[:, -1] = 1
+    fill(originals, flat, owner, 1, rows)
+    y = marks[originals].astype(float)
     gram = np.zeros((len(keys) + 1, len(keys) + 1))
-    if len(copies):
-        delta = x[copies] - x[[originals[p] for p in pairs[copies]]]
-        gram = (delta.T @ delta).astype(float) / len(copies)
+    for a in range(0, len(copies), 2048):  # what the copies changed
+        part = copies[a : a + 2048]
+        delta = np.zeros((len(part), len(keys) + 1), dtype=np.float32)
+        fill(part, added, added_of, 1, delta)
+        fill(part, gone, gone_of, -1, delta)
+        gram += (delta.T @ delta).astype(float) / len(copies)
     penalty = ridge * np.eye(len(keys) + 1) + fairness * gram
     penalty[-1, -1] = 1e-6
     w = np.zeros(len(keys) + 1)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.llm import quality, toxicity, url_filter
+from demandloom.llm.labels import training_labels
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -78,21 +79,36 @@ def test_swaps_stay_in_their_kind():
     assert toxicity.swapped("a gay man", 1).split()[1] in toxicity.IDENTITY_TERMS["trait"]
 
 
+def test_texts_without_a_mention_get_every_term_in_turn(spark, make_docs):
+    docs = make_docs([(i, f"a text number {i} of no one") for i in range(200)])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], LABELS)
+    sample = toxicity.training_sample(docs, labels.selectExpr("doc_id", "toxic AS label"), (200, 200))
+    marks = sample.column("label").to_pylist()
+    assert marks.count(None) == 200 * toxicity.MENTIONS
+    assert all(not g for m, g in zip(marks, sample.column("gone").to_pylist()) if m is None)
+    seen = {x for m, xs in zip(marks, sample.column("features").to_pylist()) if m is None for x in xs}
+    for term in toxicity.TERMS:
+        _, own = toxicity.features([term.encode()])
+        assert set(own.astype(np.int64).tolist()) <= seen
+    assert toxicity.with_mentions("", 3) and all(t.strip() for t in toxicity.with_mentions("", 3))
+
+
+def test_mentions_move_no_score_at_the_operators_own_settings(spark):
+    """On the given tables, whose texts mention nobody: each term in each of a hundred clean texts."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    sample = toxicity.training_sample(docs.select("doc_id", "text"), training_labels(labels, "toxic", 5, 0), (6000, 3000))
+    model = toxicity.fit(sample)
+    clean = docs.join(labels.filter("toxic = 0 AND quality = 1"), "doc_id").orderBy("doc_id").limit(100).select("text").collect()
+    for i, term in enumerate(toxicity.TERMS):
+        text = clean[i % 100]["text"]
+        before, after = model.score([text.encode(), f"{text} {term}".encode()])
+        assert abs(after - before) < 0.02 and (after < 0.5 or before >= 0.5)
+
+
 def _sample(rows):
-    pairs, labels, lists = [], [], []
-    for i, (text, label) in enumerate(rows):
-        texts, marks = [text.encode()], [label]
-        for shift in (0, 1, 3):
-            copy = toxicity.swapped(text, shift)
-            if copy:
-                texts.append(copy.encode())
-                marks.append(None)
-        found = toxicity._distinct(*toxicity.features(texts), len(texts))
-        pairs += [i] * len(texts)
-        labels += marks
-        lists += [f.astype(np.int64) for f in found]
-    return pa.table(
-        {"pair": pa.array(pairs), "label": pa.array(labels, pa.int32()), "features": pa.array(lists, pa.list_(pa.int64()))}
+    return pa.Table.from_batches(
+        [toxicity.sample_batch(list(range(len(rows))), [label for _, label in rows], [t.encode() for t, _ in rows])]
     )
 
 
